@@ -1,0 +1,95 @@
+"""Joins and windows that stay parallel when one key holds a large share of all rows.
+
+Keys with more than ``ROWS_PER_SLICE`` rows are found by a pre-aggregated count,
+broadcast, and their rows spread over several slices. At most ``MAX_HEAVY_KEYS``
+keys are treated so, which bounds the broadcast. Nothing is dropped beyond it:
+whatever is not on the list takes the ordinary path, and such a key holds at
+most 1/``MAX_HEAVY_KEYS`` of the rows.
+"""
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+ROWS_PER_SLICE = 1_000_000
+MAX_HEAVY_KEYS = 10_000
+
+
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], *aggregates: Column, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """The heaviest keys of ``df``: ``keys``, the ``aggregates``, and ``_slices`` >= 2.
+
+    Ordered by row count and key, so every evaluation gives the same list.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+        .filter(F.col("_rows") > rows_per_slice)
+        .orderBy(F.col("_rows").desc(), *keys)
+        .limit(MAX_HEAVY_KEYS)
+        .withColumn("_slices", F.ceil(F.col("_rows") / rows_per_slice))
+        .drop("_rows")
+    )
+
+
+def mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the other columns of ``heavy`` to ``df``, NULL for ordinary keys. NULL keys match."""
+    renamed = heavy.withColumnsRenamed({key: f"_heavy_{key}" for key in keys})
+    same_key = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_heavy_{key}")) for key in keys])
+    return df.join(F.broadcast(renamed), same_key, "left").drop(*[f"_heavy_{key}" for key in keys])
+
+
+def slice_of_row() -> Column:
+    """Slice of a row marked by :func:`mark_heavy`; 0 for ordinary keys.
+
+    Taken from the input partition, so a re-run task puts its rows where the
+    lost one did.
+    """
+    return F.coalesce(F.pmod(F.spark_partition_id(), F.col("_slices")), F.lit(0))
+
+
+def join_one_to_many(
+    one: DataFrame,
+    many: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    *,
+    nulls_match: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """``one`` joined to ``many`` on ``keys``, ``one`` having at most one row per key.
+
+    ``how`` is ``inner`` or ``left``. The rows of a heavy key in ``many`` are
+    spread over slices and its single row of ``one`` is repeated for each slice.
+    In a left join the copies that met no row vanish: a heavy key has partners
+    by definition, so only ordinary keys can go unmatched.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
+    if not nulls_match:
+        many = many.filter(reduce(and_, [F.col(key).isNotNull() for key in keys]))
+    heavy = heavy_keys(many, keys, rows_per_slice=rows_per_slice)
+
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_slices", F.lit(1)) - 1))
+    left = mark_heavy(one, heavy, keys).withColumn("_slice", copies)
+    right = (
+        mark_heavy(many, heavy, keys)
+        .withColumn("_many_slice", slice_of_row())
+        .drop("_slices")
+        .withColumnsRenamed({key: f"_many_{key}" for key in keys})
+        .withColumn("_matched", F.lit(True))
+    )
+
+    same_slice = F.col("_slice") == F.col("_many_slice")
+    if nulls_match:
+        same_key = [F.col(key).eqNullSafe(F.col(f"_many_{key}")) for key in keys]
+    else:
+        same_key = [F.col(key) == F.col(f"_many_{key}") for key in keys]
+    joined = left.join(right, reduce(and_, same_key, same_slice), how)
+    if how == "left":
+        joined = joined.filter(F.col("_matched").isNotNull() | F.col("_slices").isNull())
+    return joined.drop(
+        "_slices", "_slice", "_many_slice", "_matched", *[f"_many_{key}" for key in keys]
+    )
