@@ -13,8 +13,9 @@ from clickrev.fixed_values import (
 def read_hits_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-delimited hits with a header line, read with a fixed schema.
 
-    An unreadable number or time is NULL, a short line is filled up with NULLs
-    and surplus fields are ignored: no line is lost.
+    An empty field and an unreadable number or time are NULL, a short line is
+    filled up with NULLs and surplus fields are ignored. Only lines of nothing
+    but white space are skipped.
     """
     return spark.read.csv(
         path,

@@ -20,5 +20,4 @@ def workspace(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(_SETTING, base)
     return join_path(base, f"clickrev-{label}-{uuid4().hex}")
