@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, functions as F
 
 from clickrev.fixed_values import SEARCH_ENGINES
-from clickrev.functions.url import form_decode, raw_query_param
+from clickrev.functions.url import form_decode, raw_param_of
 
 Engines = Mapping[str, Sequence[str]]
 
@@ -29,10 +29,12 @@ def search_engine(host: Column, engines: Engines = SEARCH_ENGINES) -> Column:
     return cases
 
 
-def search_keyword(url: Column, engine: Column, engines: Engines = SEARCH_ENGINES) -> Column:
-    """The keyword in ``url``: first present parameter of ``engine``, decoded, stripped, lower case.
+def search_keyword(
+    clean_url: Column, engine: Column, engines: Engines = SEARCH_ENGINES
+) -> Column:
+    """The keyword in a URL: first present parameter of ``engine``, decoded, stripped, lower case.
 
-    NULL when there is no engine or no parameter. A parameter holding only blanks
+    ``clean_url`` is what :func:`clickrev.functions.without_line_breaks` gives. NULL when there is no engine or no parameter. A parameter holding only blanks
     is present and gives an empty string.
     """
     domains_by_params: dict[tuple[str, ...], list[str]] = {}
@@ -41,6 +43,9 @@ def search_keyword(url: Column, engine: Column, engines: Engines = SEARCH_ENGINE
 
     cases = F
     for params, domains in domains_by_params.items():
-        value = F.coalesce(*[raw_query_param(url, name) for name in params])
+        *preferred, last = [raw_param_of(clean_url, name) for name in params]
+        value = F.coalesce(*[F.nullif(param, F.lit("")) for param in preferred], last)
         cases = cases.when(engine.isin(domains), value)
-    return F.lower(F.trim(form_decode(cases), F.lit(_BLANKS)))
+    # one test for "absent" at the end, where Spark evaluates the cases only once
+    found = F.nullif(cases, F.lit(""))
+    return F.lower(F.trim(form_decode(found), F.lit(_BLANKS)))

@@ -10,19 +10,35 @@ from clickrev.operators.skew import (
 )
 
 # Width of a time span as a power of two: an INT time has 2^16 spans of 2^16
-# seconds, so neither window below ever holds more than 65,536 rows.
+# seconds, so no window over a busy visitor ever holds more than 65,536 rows.
 _SPAN_BITS = 16
 
 
 def rank_hits(hits: DataFrame, *, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Add ``hit_rank``, the rank of a hit among those of its ``ip`` by ascending time.
 
-    Equal to ``rank() over (partition by ip order by hit_time_gmt)``, ties sharing
-    a rank and hits without a time coming first, but without a window that holds
-    all hits of a visitor: hits are counted per visitor and second, the counts
-    summed up in two steps (within a span of time, then over the spans), and the
-    rank joined back. It is a BIGINT, as one visitor may have more hits than an
-    INT can count.
+    Equal to ``rank() over (partition by ip order by hit_time_gmt)``: ties share a
+    rank and hits without a time come first. A window does this for all but the
+    heaviest visitors; those are ranked by :func:`_rank_by_counts`, since a window
+    needs all hits of a visitor in one task. The rank is a BIGINT: one visitor may
+    have more hits than an INT can count.
+    """
+    marked = mark_heavy(hits, heavy_keys(hits, ["ip"], rows_per_slice=rows_per_slice), ["ip"])
+    by_time = Window.partitionBy("ip").orderBy(F.col("hit_time_gmt").asc())
+    ordinary = (
+        marked.filter(F.col("_slices").isNull())
+        .withColumn("hit_rank", F.rank().over(by_time).cast("long"))
+        .select(*hits.columns, "hit_rank")
+    )
+    heavy = marked.filter(F.col("_slices").isNotNull()).select(*hits.columns)
+    return ordinary.unionByName(_rank_by_counts(heavy, rows_per_slice))
+
+
+def _rank_by_counts(hits: DataFrame, rows_per_slice: int) -> DataFrame:
+    """The rank as one more than the number of earlier hits of the visitor.
+
+    Hits are counted per visitor and second, the counts summed up in two steps
+    (within a span of time, then over the spans), and the sums joined back.
     """
     visitor, time = "ip", "hit_time_gmt"
     seconds = (

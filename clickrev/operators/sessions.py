@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickrev.fixed_values import SEARCH_ENGINES
 from clickrev.functions.referrer import Engines, search_engine, search_keyword
-from clickrev.functions.url import url_host
+from clickrev.functions.url import host_of, without_line_breaks
 
 
 def with_search_origin(
@@ -11,17 +11,19 @@ def with_search_origin(
 ) -> DataFrame:
     """Add ``search_engine_domain`` and ``search_keyword``, read from the column ``url``.
 
-    The host is a column of its own so that its pattern runs once per row, not
-    once per known domain.
+    The cleaned URL and its host are columns of their own so that each pattern
+    runs once per row, not once per known domain. The keyword is only looked for
+    where an engine was found.
     """
     return (
-        df.withColumn("_host", url_host(F.col(url)))
+        df.withColumn("_url", without_line_breaks(F.col(url)))
+        .withColumn("_host", host_of(F.col("_url")))
         .withColumn("search_engine_domain", search_engine(F.col("_host"), engines))
         .withColumn(
             "search_keyword",
-            search_keyword(F.col(url), F.col("search_engine_domain"), engines),
+            search_keyword(F.col("_url"), F.col("search_engine_domain"), engines),
         )
-        .drop("_host")
+        .drop("_url", "_host")
     )
 
 

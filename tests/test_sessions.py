@@ -119,7 +119,9 @@ def test_first_hits_equal_rank_one_of_the_window(spark, seed, rows_per_slice):
     assert rows_of(found) == rows_of(window_rank(df).filter("hit_rank = 1").drop("hit_rank"))
 
 
-def test_ranks_of_the_whole_int_range(spark):
+@pytest.mark.parametrize("rows_per_slice", [1, 100])
+def test_ranks_of_the_whole_int_range(spark, rows_per_slice):
     times = [-(2**31), -1, 0, 65535, 65536, 2**31 - 1, None]
     df = frame(spark, "ip string, hit_time_gmt int", *[("a", time) for time in times])
-    assert column(rank_hits(df).orderBy("hit_time_gmt"), "hit_rank") == [1, 2, 3, 4, 5, 6, 7]
+    ranked = rank_hits(df, rows_per_slice=rows_per_slice).orderBy("hit_time_gmt")
+    assert column(ranked, "hit_rank") == [1, 2, 3, 4, 5, 6, 7]
