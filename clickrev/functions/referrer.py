@@ -1,5 +1,6 @@
 """Search engine and keyword behind a referrer."""
 from collections.abc import Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, functions as F
 
@@ -20,13 +21,17 @@ def search_engine(host: Column, engines: Engines = SEARCH_ENGINES) -> Column:
     """The domain of ``engines`` that ``host`` equals or is a subdomain of, else NULL.
 
     ``host`` is a lower-case host name such as :func:`clickrev.functions.url_host`
-    gives. Pass a column, not an expression: it is compared to every domain, and
-    the first match of the table wins.
+    gives. Its last labels are looked up among the domains; domains of several
+    lengths are tried in the order of the table, and the first match wins. Each
+    look-up names ``host`` once: Spark repeats the expression behind a column for
+    every mention when it pushes a filter on the result down.
     """
-    cases = F
-    for domain in engines:
-        cases = cases.when((host == domain) | host.endswith(f".{domain}"), F.lit(domain))
-    return cases
+    found = []
+    for dots, domains in groupby(engines, key=lambda domain: domain.count(".")):
+        itself = [F.lit(domain) for domain in domains for _ in ("key", "value")]
+        last_labels = F.substring_index(host, ".", -(dots + 1))
+        found.append(F.try_element_at(F.create_map(*itself), last_labels))
+    return F.coalesce(*found)
 
 
 def search_keyword(
@@ -34,7 +39,8 @@ def search_keyword(
 ) -> Column:
     """The keyword in a URL: first present parameter of ``engine``, decoded, stripped, lower case.
 
-    ``clean_url`` is what :func:`clickrev.functions.without_line_breaks` gives. NULL when there is no engine or no parameter. A parameter holding only blanks
+    ``clean_url`` is what :func:`clickrev.functions.without_line_breaks` gives.
+    NULL when there is no engine or no parameter. A parameter holding only blanks
     is present and gives an empty string.
     """
     domains_by_params: dict[tuple[str, ...], list[str]] = {}
@@ -43,9 +49,6 @@ def search_keyword(
 
     cases = F
     for params, domains in domains_by_params.items():
-        *preferred, last = [raw_param_of(clean_url, name) for name in params]
-        value = F.coalesce(*[F.nullif(param, F.lit("")) for param in preferred], last)
+        value = F.coalesce(*[raw_param_of(clean_url, name) for name in params])
         cases = cases.when(engine.isin(domains), value)
-    # one test for "absent" at the end, where Spark evaluates the cases only once
-    found = F.nullif(cases, F.lit(""))
-    return F.lower(F.trim(form_decode(found), F.lit(_BLANKS)))
+    return F.lower(F.trim(form_decode(cases), F.lit(_BLANKS)))

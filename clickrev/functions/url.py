@@ -21,7 +21,7 @@ _LOOKALIKE = r"[\x{2047}-\x{ff20}&&[⁇⁈⁉℀℁℅℆⩴︓︖﹕﹖﹟﹫
 _HOST = (
     r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
     rf"(?![^/?#]*{_LOOKALIKE})"
-    r"(?:[^/?#\[\]]*@)?([^/?#\[\]@:]*)(?::[^/?#\[\]@]*)?(?:[/?#]|\z)"
+    r"(?:[^/?#\[\]]*@)?([^/?#\[\]@:]+)(?::[^/?#\[\]@]*)?(?:[/?#]|\z)"
 )
 
 
@@ -32,9 +32,14 @@ def without_line_breaks(url: Column) -> Column:
     return url
 
 
+def _captured(text: Column, pattern: str) -> Column:
+    """What the group of an anchored ``pattern`` captures, NULL without a match."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def host_of(clean_url: Column) -> Column:
     """Lower-case host of a URL without line breaks, NULL when there is none."""
-    return F.nullif(F.lower(F.regexp_extract(clean_url, _HOST, 1)), F.lit(""))
+    return F.lower(_captured(clean_url, _HOST))
 
 
 def url_host(url: Column) -> Column:
@@ -62,9 +67,9 @@ def _name_pattern(name: str) -> str:
 
 
 def raw_param_of(clean_url: Column, name: str) -> Column:
-    """First non-empty value of parameter ``name``, still encoded; empty if absent."""
+    """First non-empty value of parameter ``name``, still encoded; NULL if absent."""
     pattern = rf"^[^?#]*\?(?:[^#]*?&)??{_name_pattern(name)}=([^&#]+)"
-    return F.regexp_extract(clean_url, pattern, 1)
+    return _captured(clean_url, pattern)
 
 
 def form_decode(text: Column) -> Column:
@@ -74,4 +79,4 @@ def form_decode(text: Column) -> Column:
 
 def query_param(url: Column, name: str) -> Column:
     """First non-empty value of query parameter ``name``, decoded."""
-    return form_decode(F.nullif(raw_param_of(without_line_breaks(url), name), F.lit("")))
+    return form_decode(raw_param_of(without_line_breaks(url), name))

@@ -6,7 +6,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot leaves methods over 8,000 bytes interpreted. A stage that would
+    # generate one runs faster uncompiled by Spark, operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Reduce tasks are sized for shuffled rows, which are a small part of the input

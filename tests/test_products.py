@@ -7,49 +7,53 @@ from clickrev.operators import clean_hits, product_entries, product_hits, produc
 from data import column, frame, hits
 
 
-def parse(spark, product_list):
-    df = product_level(clean_hits(hits(spark, {"product_list": product_list})))
-    return [
-        tuple(row)
-        for row in df.select(
-            "product_category",
-            "product_name",
-            "product_quantity",
-            "product_total_revenue",
-            "product_custom_events",
-        ).collect()
-    ]
-
-
-@pytest.mark.parametrize(
-    ("product_list", "expected"),
-    [
-        ("Audio;Walkman M;1;190;", [("Audio", "Walkman M", 1, 190.0, None)]),
-        ("PC;Tower;1;1000;200|201", [("PC", "Tower", 1, 1000.0, "200|201")]),
-        (
-            "PC;Tower;1;1000;200|201,Office;Pens;4;4.00;205|206|207",
-            [("PC", "Tower", 1, 1000.0, "200|201"), ("Office", "Pens", 4, 4.0, "205|206|207")],
-        ),
-        ("Audio;Radio;1;;", [("Audio", "Radio", 1, None, None)]),
-        ("Audio;Radio;1;250", [("Audio", "Radio", 1, 250.0, None)]),
-        ("  Audio;Radio;1;250;  ", [("Audio", "Radio", 1, 250.0, None)]),
-        ("A;B;1;5;7|8, ,C;D;2;1.25", [("A", "B", 1, 5.0, "7|8"), ("C", "D", 2, 1.25, None)]),
-        ("Cat;Name", [("Cat", "Name", None, None, None)]),
-        ("Only", [("Only", None, None, None, None)]),
-        ("A;B;x;y;", [("A", "B", None, None, None)]),
-        ("A;B;1.5;2;", [("A", "B", 1, 2.0, None)]),
-        ("A;B;1;NaN;", [("A", "B", 1, None, None)]),
-        ("A;B;1;Infinity;", [("A", "B", 1, None, None)]),
-        ("A;B;1;2; ;eVar1", [("A", "B", 1, 2.0, " ")]),
-        ("A;B, with comma;1;2;", [("A", "B", None, None, None), ("with comma", "1", 2, None, None)]),
-        (",,", []),
-        ("", []),
-        ("   ", []),
-        (None, []),
-    ],
-)
-def test_product_list(spark, product_list, expected):
-    assert parse(spark, product_list) == expected
+PRODUCT_LISTS = [
+    ("Audio;Walkman M;1;190;", [("Audio", "Walkman M", 1, 190.0, None)]),
+    ("PC;Tower;1;1000;200|201", [("PC", "Tower", 1, 1000.0, "200|201")]),
+    (
+        "PC;Tower;1;1000;200|201,Office;Pens;4;4.00;205|206|207",
+        [("PC", "Tower", 1, 1000.0, "200|201"), ("Office", "Pens", 4, 4.0, "205|206|207")],
+    ),
+    ("Audio;Radio;1;;", [("Audio", "Radio", 1, None, None)]),
+    ("Audio;Radio;1;250", [("Audio", "Radio", 1, 250.0, None)]),
+    ("  Audio;Radio;1;250;  ", [("Audio", "Radio", 1, 250.0, None)]),
+    ("A;B;1;5;7|8, ,C;D;2;1.25", [("A", "B", 1, 5.0, "7|8"), ("C", "D", 2, 1.25, None)]),
+    ("Cat;Name", [("Cat", "Name", None, None, None)]),
+    ("Only", [("Only", None, None, None, None)]),
+    ("A;B;x;y;", [("A", "B", None, None, None)]),
+    ("A;B;1.5;2;", [("A", "B", 1, 2.0, None)]),
+    ("A;B;1;NaN;", [("A", "B", 1, None, None)]),
+    ("A;B;1;Infinity;", [("A", "B", 1, None, None)]),
+    ("A;B;1;2; ;eVar1", [("A", "B", 1, 2.0, " ")]),
+    ("A;B, with comma;1;2;", [("A", "B", None, None, None), ("with comma", "1", 2, None, None)]),
+    (",,", []),
+    ("", []),
+    ("   ", []),
+    (None, []),
+]
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    """Parsed products per packed text, all in one job."""
+    rows = [{"product_list": text, "hit_time_gmt": n} for n, (text, _) in enumerate(PRODUCT_LISTS)]
+    parsed = {text: [] for text, _ in PRODUCT_LISTS}
+    df = product_level(clean_hits(hits(spark, *rows))).select(
+        "hit_time_gmt",
+        "product_category",
+        "product_name",
+        "product_quantity",
+        "product_total_revenue",
+        "product_custom_events",
+    )
+    for n, *product in df.collect():
+        parsed[PRODUCT_LISTS[n][0]].append(tuple(product))
+    return parsed
+
+
+@pytest.mark.parametrize(("product_list", "expected"), PRODUCT_LISTS)
+def test_product_list(products, product_list, expected):
+    assert products[product_list] == expected
 
 
 def test_types_and_columns(spark):
@@ -73,34 +77,33 @@ def test_hits_without_products_give_no_entries(spark):
     assert column(product_entries(raw), "product_entry") == ["A"]
 
 
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [
-        ("7", 7), (" 7 ", 7), ("\t7", 7), ("+7", 7), ("-7", -7), ("1.5", 1), ("-1.9", -1), ("5.", 5),
-        (".5", 0), ("-.5", 0), (".", 0), ("007", 7), ("2147483647", 2147483647),
-        ("2147483648", None), ("1e3", None), ("1.5x", None), ("1 2", None), ("", None),
-        ("+", None), ("--1", None), ("1.2.3", None), (None, None),
-    ],
-)
-def test_whole_number_is_the_lenient_cast(spark, text, expected):
-    df = frame(spark, "t string", (text,)).select(whole_number(F.col("t")).alias("n"))
-    assert column(df, "n") == [expected]
+WHOLE_NUMBERS = [
+    ("7", 7), (" 7 ", 7), ("\t7", 7), ("+7", 7), ("-7", -7), ("1.5", 1), ("-1.9", -1), ("5.", 5),
+    (".5", 0), ("-.5", 0), (".", 0), ("007", 7), ("2147483647", 2147483647),
+    ("2147483648", None), ("1e3", None), ("1.5x", None), ("1 2", None), ("", None),
+    ("+", None), ("--1", None), ("1.2.3", None), (None, None),
+]
+
+
+def test_whole_number_is_the_lenient_cast(spark):
+    df = frame(spark, "t string, expected int", *WHOLE_NUMBERS)
+    found = df.select("t", whole_number(F.col("t")).alias("n"))
+    assert [tuple(row) for row in found.collect()] == WHOLE_NUMBERS
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        lenient = frame(spark, "t string", (text,)).select(F.col("t").cast("int").alias("n"))
-        assert column(lenient, "n") == [expected]
+        assert column(df.select(F.col("t").cast("int").alias("n")), "n") == column(df, "expected")
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [
-        ("190", 190.0), (" 4.00 ", 4.0), ("1e3", 1000.0), ("1d", 1.0), ("-2.5", -2.5),
-        ("NaN", None), ("inf", None), ("-Infinity", None), ("1e999", None), ("12,5", None),
-        ("", None), ("abc", None), (None, None),
-    ],
-)
-def test_finite_double(spark, text, expected):
-    df = frame(spark, "t string", (text,)).select(finite_double(F.col("t")).alias("n"))
-    assert column(df, "n") == [expected]
+FINITE_DOUBLES = [
+    ("190", 190.0), (" 4.00 ", 4.0), ("1e3", 1000.0), ("1d", 1.0), ("-2.5", -2.5),
+    ("NaN", None), ("inf", None), ("-Infinity", None), ("1e999", None), ("12,5", None),
+    ("", None), ("abc", None), (None, None),
+]
+
+
+def test_finite_double(spark):
+    df = frame(spark, "t string, expected double", *FINITE_DOUBLES)
+    found = df.select("t", finite_double(F.col("t")).alias("n"))
+    assert [tuple(row) for row in found.collect()] == FINITE_DOUBLES
