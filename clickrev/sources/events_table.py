@@ -15,7 +15,8 @@ def _concat(*parts: Column | str) -> Column:
 def hits_from_events(events: DataFrame) -> DataFrame:
     """``events`` as raw hits. Times are whole hours, so that visitors have ties."""
     event_id, user_id, event_type = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
 
     hour = F.date_diff(F.to_date("ts"), F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")
     events_by_type = (

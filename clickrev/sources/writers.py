@@ -73,19 +73,21 @@ def publish_report(
     staging = join_path(out_dir, f"_staging-{uuid4().hex}")
     revenue = REPORT_HEADINGS["revenue"]
 
-    rows = write_parquet(report, join_path(staging, "rows"))
-    staged = spark.read.parquet(join_path(staging, "rows"))
-    small = rows <= single_file_rows
-    ordered = (
-        staged.coalesce(1).sortWithinPartitions(*_best_first())
-        if small
-        else staged.orderBy(*_best_first())
-    )
-    text = ordered.withColumn(revenue, F.col(revenue).cast("decimal(38,2)"))
-    text.write.option("header", True).option("sep", REPORT_SEPARATOR).csv(join_path(staging, "text"))
-
-    written = join_path(staging, "text")
-    replace(spark, single_part(spark, written) if small else written, target)
-    delete(spark, staging)
+    try:
+        rows = write_parquet(report, join_path(staging, "rows"))
+        staged = spark.read.parquet(join_path(staging, "rows"))
+        small = rows <= single_file_rows
+        ordered = (
+            staged.coalesce(1).sortWithinPartitions(*_best_first())
+            if small
+            else staged.orderBy(*_best_first())
+        )
+        text = join_path(staging, "text")
+        ordered.withColumn(revenue, F.col(revenue).cast("decimal(38,2)")).write.csv(
+            text, header=True, sep=REPORT_SEPARATOR
+        )
+        replace(spark, single_part(spark, text) if small else text, target)
+    finally:
+        delete(spark, staging)
     log.info("published %d report rows as %s", rows, target)
     return target
