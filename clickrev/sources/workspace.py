@@ -1,23 +1,41 @@
 """A folder every executor can reach, for tables written on the way."""
-import tempfile
+import atexit
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-from clickrev.sources.files import join_path
+from clickrev.sources.files import delete, join_path
 
 _SETTING = "spark.checkpoint.dir"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, or one below the warehouse.
+
+    Both are shared by the driver and all executors.
+    """
+    return spark.conf.get(_SETTING, None) or join_path(
+        spark.conf.get("spark.sql.warehouse.dir"), "_clickrev"
+    )
+
+
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder for intermediate tables, deleted when the driver ends.
 
-    Only a local session, whose executors share the machine, may go without the
-    setting; it gets a folder in the machine's temporary space.
+    A result that is read lazily may need it until then; :func:`discard` deletes
+    it earlier.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="run-")
-    return join_path(base, f"clickrev-{label}-{uuid4().hex}")
+    folder = join_path(shared_folder(spark), f"clickrev-{label}-{uuid4().hex}")
+    atexit.register(_at_exit, spark, folder)
+    return folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate folder that nothing will read any more."""
+    delete(spark, folder)
+
+
+def _at_exit(spark: SparkSession, folder: str) -> None:
+    context = SparkSession.getActiveSession()
+    if context is not None and context.sparkContext._jsc is not None:
+        delete(context, folder)
