@@ -52,6 +52,12 @@ from clickrev.sources.events_table import hits_from_events
 from clickrev.sources.files import join_path
 from clickrev.sources.workspace import workspace
 
+try:
+    import corpus_pipeline  # noqa: F401
+    from clickrev.llm import registry as _llm
+except ImportError:  # the subpackage and the pipeline may be taken out
+    _llm = None
+
 _FLAGSHIP_DIR = "/root/testdata/sf0.001"
 _RUN_DATE = date(2024, 2, 1)
 
@@ -231,7 +237,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator; each takes (spark, sf_dir)."""
     origin_columns = ["ip", "hit_time_gmt", "referrer"]
-    return {
+    on_tables = {
         # sources and sinks
         "read_hits_tsv": _read_hits_tsv,
         "conformed_roundtrip": _conformed_roundtrip,
@@ -278,6 +284,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_job": _conform_job,
         "curate_job": _curate_job,
     }
+    return on_tables | (_llm.queries() if _llm else {})
 
 
 # --- SQL twins ---------------------------------------------------------------
@@ -462,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
         """,
         "curate_job": _REPORT_SQL,
     }
-    return {name: _TABLES_SQL + sql for name, sql in on_hits.items()} | {
+    on_pages = {
         "url_host_counts": r"""
             SELECT lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host,
                 count(*) AS n_pages
@@ -476,3 +483,5 @@ def oracle_sql() -> dict[str, str]:
             FROM pages GROUP BY ALL
         """,
     }
+    with_tables = {name: _TABLES_SQL + sql for name, sql in on_hits.items()}
+    return with_tables | on_pages | (_llm.oracle_sql() if _llm else {})
