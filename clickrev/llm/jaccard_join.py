@@ -47,6 +47,9 @@ MAX_DEPTH = 3
 #: Sets of a bucket, and shingles of a group, that one chunk holds.
 BUCKET_CHUNK = 4096
 GROUP_CHUNK = 4_000_000
+#: Up to so many sets (about 60 bytes each) the list of texts to verify is broadcast; more
+#: are joined by a shuffle.
+BROADCAST_SETS = 1_000_000
 #: Sketches are compared cautiously: five standard errors of the estimate.
 SLACK = 5.0
 
@@ -352,7 +355,9 @@ def _verified(groups: DataFrame, docs: DataFrame, words: int, threshold: float)
         return pa.RecordBatch.from_arrays(columns, ["node", "head", "links"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = groups.join(texts, "doc_id").select("node", "root", "chunks", "copies", "text")
+    # whole texts are not dealt out again if the list of those wanted is small
+    few = groups.count() <= BROADCAST_SETS
+    wanted = texts.join(F.broadcast(groups) if few else groups, "doc_id").select("node", "root", "chunks", "copies", "text")
     tokenized = wanted.mapInArrow(tokenize, "node BIGINT, root BIGINT, chunks INT, copies BIGINT, tokens BINARY")
     rows = _chunk_pairs(tokenized, "root").select("node", "root", "_first", "_second", "_chunk", "copies", "tokens")
     return rows.mapInArrow(verify, "node BIGINT, head BIGINT, links BIGINT")
