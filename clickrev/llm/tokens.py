@@ -5,7 +5,7 @@ text are those of its words one after another. Words repeat, so each is encoded
 per worker and the rest is a look-up. Words are encoded by the ``tokenizers`` library,
 many in one call.
 """
-from itertools import filterfalse
+from collections.abc import Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -16,6 +16,12 @@ END_ID = 0
 _CACHED_WORDS = 800_000
 _CACHED_WORD_CHARS = 48
 _JOINED_CHARS = 1 << 16
+# Signs that never join the letters before them.
+_SIGNS = ".,!?;:%&#$*"
+# White space as Python and Unicode know it, without the blank and the line break.
+_OTHER_SPACES = [
+    c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"
+]
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -40,68 +46,118 @@ class WordEncoder:
         self._line_break = self._plain("\n")
         if len(self._line_break) != 4:
             raise ValueError("the tokenizer must have one id for a line break")
+        self._line_break_id = np.frombuffer(self._line_break, "<u4")[0]
         self._known: dict[str, bytes] = {}
+        self._signs_known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > _CACHED_WORDS:
             self._known.clear()
-        split = [_words(text) for text in texts]
-        missing: set[str] = set()
-        for words in split:
-            missing.update(filterfalse(self._known.__contains__, words or ()))
-        long_words = self._learn(missing)
         known = self._known.get
-        out = []
-        for text, words in zip(texts, split, strict=True):
+        out: list[bytes | list] = []
+        missing: dict[str, list[tuple[list, int]]] = {}  # word: where its ids belong
+        for text in texts:
+            words = _words(text)
             if words is None:
                 out.append(self._plain(text))
                 continue
-            if long_words:
-                ids = b"".join([known(word) or long_words[word] for word in words])
-            else:
-                ids = b"".join(map(self._known.__getitem__, words))
-            out.append(ids[len(self._line_break) :])
-        return out
+            ids = list(map(known, words))
+            gaps = _places_of_none(ids)
+            # empty keys come from runs of white space, which are encoded in their context
+            if any(words[k] in ("", "\n") for k in gaps):
+                out.append(self._plain(text))
+                continue
+            for k in gaps:
+                missing.setdefault(words[k], []).append((ids, k))
+            out.append(ids)
+        learned = self._learn(missing)
+        for word, places in missing.items():
+            for ids, k in places:
+                ids[k] = learned[word]
+        skipped = len(self._line_break)
+        return [x if isinstance(x, bytes) else b"".join(x)[skipped:] for x in out]
 
     def _plain(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Put words into the cache; returns those too long to stay in it."""
-        rare: dict[str, bytes] = {}
-        for after, prefix, ids_before in (("\n", "", self._line_break), ("", " ", b"")):
-            words = [w for w in missing if (w[:1] == "\n") == (after == "\n")]
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of words, put into the cache if they are short.
+
+        Signs after the last letter are a token of their own, so a word is learned without
+        them and serves with any.
+        """
+        stems = {word: _stem(word) for word in words}
+        learned: dict[str, bytes] = {}
+        new = []
+        for stem in set(stems.values()):
+            ids = self._known.get(stem)
+            if ids is None:
+                new.append(stem)
+            else:
+                learned[stem] = ids
+        for after, prefix, before in (("\n", "", self._line_break), ("", " ", b"")):
             chunk: list[str] = []
             size = 0
-            for word in words:
-                chunk.append(word)
-                size += len(word)
+            for stem in new:
+                if stem.startswith("\n") != bool(after):
+                    continue
+                chunk.append(stem)
+                size += len(stem)
                 if size > _JOINED_CHARS:
-                    self._learn_chunk(chunk, after, prefix, ids_before, rare)
+                    self._learn_chunk(chunk, prefix, before, learned)
                     chunk, size = [], 0
             if chunk:
-                self._learn_chunk(chunk, after, prefix, ids_before, rare)
-        return rare
+                self._learn_chunk(chunk, prefix, before, learned)
+        for word, stem in stems.items():
+            if word != stem:
+                learned[word] = learned[stem] + self._signs(word[len(stem) :])
+            if len(word) <= _CACHED_WORD_CHARS:
+                self._known[word] = learned[word]
+                self._known[stem] = learned[stem]
+        return learned
 
     def _learn_chunk(
-        self, words: list[str], after: str, prefix: str, ids_before: bytes, rare: dict[str, bytes]
+        self, words: list[str], prefix: str, before: bytes, learned: dict[str, bytes]
     ) -> None:
         """Encode words as lines of one text; the line breaks' ids separate them again."""
-        lines = [prefix + word.removeprefix(after) for word in words]
-        ids = np.frombuffer(self._plain("\n".join(lines)), "<u4")
-        ends = np.flatnonzero(ids == np.frombuffer(self._line_break, "<u4")[0])
-        starts = [0, *(ends + 1).tolist()]
-        for word, start, end in zip(words, starts, [*ends.tolist(), len(ids)], strict=True):
-            target = self._known if len(word) <= _CACHED_WORD_CHARS else rare
-            target[word] = ids_before + ids[start:end].tobytes()
+        text = "\n".join([prefix + word.removeprefix("\n") for word in words])
+        raw = self._plain(text)
+        ends = np.flatnonzero(np.frombuffer(raw, "<u4") == self._line_break_id) * 4
+        start = 0
+        for word, end in zip(words, [*ends.tolist(), len(raw)], strict=True):
+            learned[word] = before + raw[start:end]
+            start = end + 4
+
+    def _signs(self, signs: str) -> bytes:
+        ids = self._signs_known.get(signs)
+        if ids is None:
+            ids = self._plain(signs)
+            if len(signs) <= 4:
+                self._signs_known[signs] = ids
+        return ids
+
+
+def _places_of_none(values: list) -> list[int]:
+    places, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            places.append(at)
+    except ValueError:
+        return places
+
+
+def _stem(word: str) -> str:
+    stem = word.rstrip(_SIGNS)
+    return stem if stem and stem[-1].isalpha() else word
 
 
 def _words(text: str) -> list[str] | None:
-    """Keys for the cache, or None where white space is more than single separators.
+    """Keys for the cache, or None for white space other than blanks and line breaks.
 
     The text is taken as the line after a line break, whose id the caller cuts off.
     """
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+    if any(space in text for space in _OTHER_SPACES):
         return None
     return ("\n" + text).replace("\n", " \n").split(" ")[1:]
