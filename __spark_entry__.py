@@ -188,23 +188,22 @@ def _curate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions, purchases = _sessions(spark, sf_dir), _purchases(spark, sf_dir)
-    stages = {
-        "raw_hits": _hits(spark, sf_dir),
-        "all_hits": _all_hits(spark, sf_dir),
-        "product_level": _products(spark, sf_dir),
-        "sessions": sessions,
-        "purchases": purchases,
-        "report": revenue_by_keyword(sessions, purchases),
-    }
-    counts = [
-        df.agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("n_rows"))
-        for stage, df in stages.items()
-    ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    """Each stage stored and counted by the library's own sink, from the stage before."""
+    folder = workspace(spark, "counts")
+    rows: list[tuple[str, int]] = []
+
+    def store(stage: str, df: DataFrame) -> DataFrame:
+        path = join_path(folder, stage)
+        rows.append((stage, write_parquet(df, path)))
+        return spark.read.schema(df.schema).parquet(path)
+
+    raw = store("raw_hits", _hits(spark, sf_dir))
+    hits = store("all_hits", clean_hits(raw))
+    products = store("product_level", product_level(hits))
+    sessions = store("sessions", session_search_origin(hits))
+    purchases = store("purchases", purchase_revenue(products))
+    store("report", revenue_by_keyword(sessions, purchases))
+    return spark.createDataFrame(rows, "stage STRING, n_rows BIGINT")
 
 
 def _url_host_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,7 @@
 """Predicates on the packed event list of a hit."""
-import re
+from pyspark.sql import Column, functions as F
 
-from pyspark.sql import Column
-
-from clickrev.fixed_values import EVENT_PATTERN
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
 def has_event(event_list: Column, code: str) -> Column:
@@ -11,4 +9,5 @@ def has_event(event_list: Column, code: str) -> Column:
 
     ``2, 1 ,12`` holds 1; ``10,12`` does not. NULL stays NULL, which a filter drops.
     """
-    return event_list.rlike(EVENT_PATTERN.format(code=re.escape(code)))
+    tokens = F.split(event_list, ",", -1)
+    return F.exists(tokens, lambda token: F.trim(token, F.lit(_BLANKS)) == code)

@@ -26,6 +26,8 @@ def search_engine(host: Column, engines: Engines = SEARCH_ENGINES) -> Column:
     look-up names ``host`` once: Spark repeats the expression behind a column for
     every mention when it pushes a filter on the result down.
     """
+    if not engines:
+        raise ValueError("the table of search engines is empty")
     found = []
     for dots, domains in groupby(engines, key=lambda domain: domain.count(".")):
         itself = [F.lit(domain) for domain in domains for _ in ("key", "value")]
@@ -47,8 +49,13 @@ def search_keyword(
     for domain, params in engines.items():
         domains_by_params.setdefault(tuple(params), []).append(domain)
 
-    cases = F
-    for params, domains in domains_by_params.items():
-        value = F.coalesce(*[raw_param_of(clean_url, name) for name in params])
-        cases = cases.when(engine.isin(domains), value)
-    return F.lower(F.trim(form_decode(cases), F.lit(_BLANKS)))
+    if not domains_by_params:
+        raise ValueError("the table of search engines is empty")
+    # an engine is in one case only; the others are NULL
+    cases = [
+        F.when(
+            engine.isin(domains), F.coalesce(*[raw_param_of(clean_url, name) for name in params])
+        )
+        for params, domains in domains_by_params.items()
+    ]
+    return F.lower(F.trim(form_decode(F.coalesce(*cases)), F.lit(_BLANKS)))

@@ -1,44 +1,28 @@
 """Rank of hits within a visitor, and the entry hits."""
-from pyspark.sql import DataFrame, Window, functions as F
-
-from clickrev.operators.skew import (
-    ROWS_PER_SLICE,
-    heavy_keys,
-    join_one_to_many,
-    mark_heavy,
-    slice_of_row,
-)
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Width of a time span as a power of two: an INT time has 2^16 spans of 2^16
-# seconds, so no window over a busy visitor ever holds more than 65,536 rows.
+# seconds, so no window over a visitor ever holds more than 65,536 rows.
 _SPAN_BITS = 16
+# Below every INT time: a hit without a time comes first.
+_BEFORE_ALL = -(1 << 40)
 
 
-def rank_hits(hits: DataFrame, *, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add ``hit_rank``, the rank of a hit among those of its ``ip`` by ascending time.
+def ordered_time() -> Column:
+    return F.coalesce(F.col("hit_time_gmt").cast("long"), F.lit(_BEFORE_ALL))
 
-    Equal to ``rank() over (partition by ip order by hit_time_gmt)``: ties share a
-    rank and hits without a time come first. A window does this for all but the
-    heaviest visitors; those are ranked by :func:`_rank_by_counts`, since a window
-    needs all hits of a visitor in one task. The rank is a BIGINT: one visitor may
-    have more hits than an INT can count.
-    """
-    marked = mark_heavy(hits, heavy_keys(hits, ["ip"], rows_per_slice=rows_per_slice), ["ip"])
-    by_time = Window.partitionBy("ip").orderBy(F.col("hit_time_gmt").asc())
-    ordinary = (
-        marked.filter(F.col("_slices").isNull())
-        .withColumn("hit_rank", F.rank().over(by_time).cast("long"))
-        .select(*hits.columns, "hit_rank")
-    )
-    heavy = marked.filter(F.col("_slices").isNotNull()).select(*hits.columns)
-    return ordinary.unionByName(_rank_by_counts(heavy, rows_per_slice))
 
+def rank_hits(hits: DataFrame) -> DataFrame:
+    """Add ``hit_rank``, the rank of a hit among those of its ``ip`` by ascending time.
 
-def _rank_by_counts(hits: DataFrame, rows_per_slice: int) -> DataFrame:
-    """The rank as one more than the number of earlier hits of the visitor.
+    Equal to ``rank() over (partition by ip order by hit_time_gmt)``: ties share a rank and
+    hits without a time come first. The rank is a BIGINT: one visitor may have more hits
+    than an INT can count.
 
-    Hits are counted per visitor and second, the counts summed up in two steps
-    (within a span of time, then over the spans), and the sums joined back.
+    It is one more than the number of earlier hits, which is found from counts: hits are
+    counted per visitor and second, the counts summed up in two steps (within a span of
+    time, then over the spans), and the sums joined back. So no task ever needs all hits of
+    a visitor; a skewed second in the last join is split by adaptive execution.
     """
     visitor, time = "ip", "hit_time_gmt"
     seconds = (
@@ -68,40 +52,26 @@ def _rank_by_counts(hits: DataFrame, rows_per_slice: int) -> DataFrame:
             F.col(visitor).eqNullSafe(F.col("_visitor"))
             & F.col("_span").eqNullSafe(F.col("_visitor_span")),
         )
-        .select(visitor, time, (F.col("_earlier_spans") + F.col("_earlier") + 1).alias("hit_rank"))
-    )
-    ranked = join_one_to_many(
-        ranks, hits, [visitor, time], "inner", nulls_match=True, rows_per_slice=rows_per_slice
+        .select(
+            F.col(visitor).alias("_ip"),
+            F.col(time).alias("_time"),
+            (F.col("_earlier_spans") + F.col("_earlier") + 1).alias("hit_rank"),
+        )
     )
-    return ranked.select(*hits.columns, "hit_rank")
+    same = F.col(visitor).eqNullSafe(F.col("_ip")) & F.col(time).eqNullSafe(F.col("_time"))
+    return hits.join(ranks, same).select(*hits.columns, "hit_rank")
 
 
-def first_hits(hits: DataFrame, *, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def entry_times(hits: DataFrame) -> DataFrame:
+    """``_ip, _entry``: the earliest time of every visitor, as a hash aggregate of two columns."""
+    return hits.groupBy(F.col("ip").alias("_ip")).agg(F.min(ordered_time()).alias("_entry"))
+
+
+def first_hits(hits: DataFrame) -> DataFrame:
     """The entry hits of every visitor: all hits at its earliest time.
 
-    Rank 1 of each window, which Spark prunes task by task before the shuffle.
-    For the few heaviest visitors the earliest time is known from the count that
-    finds them; their other hits go at the scan, and those left are spread over
-    slices, so even a huge tie does not meet in one task.
+    The earliest times, one row per visitor, are joined to the hits. A busy visitor is a
+    skewed key of that join, which adaptive execution splits.
     """
-    heavy = heavy_keys(
-        hits,
-        ["ip"],
-        # min() passes over NULL, but a hit without a time is an entry hit
-        F.min(F.struct("hit_time_gmt")).alias("_entry"),
-        rows_per_slice=rows_per_slice,
-    )
-    candidates = (
-        mark_heavy(hits, heavy, ["ip"])
-        .filter(
-            F.col("_slices").isNull()
-            | F.col("hit_time_gmt").eqNullSafe(F.col("_entry.hit_time_gmt"))
-        )
-        .withColumn("_slice", slice_of_row())
-    )
-    by_time = Window.partitionBy("ip", "_slice").orderBy(F.col("hit_time_gmt").asc())
-    return (
-        candidates.withColumn("_rank", F.rank().over(by_time))
-        .filter(F.col("_rank") == 1)
-        .select(*hits.columns)
-    )
+    same = F.col("ip").eqNullSafe(F.col("_ip")) & (ordered_time() == F.col("_entry"))
+    return hits.join(entry_times(hits), same).select(*hits.columns)

@@ -1,10 +1,8 @@
 """Joins and windows that stay parallel when one key holds a large share of all rows.
 
-Keys with more than ``ROWS_PER_SLICE`` rows are found by a pre-aggregated count,
-broadcast, and their rows spread over several slices. At most ``MAX_HEAVY_KEYS``
-keys are treated so, which bounds the broadcast. Nothing is dropped beyond it:
-whatever is not on the list takes the ordinary path, and such a key holds at
-most 1/``MAX_HEAVY_KEYS`` of the rows.
+Keys with more than ``ROWS_PER_SLICE`` rows are found by a pre-aggregated count and
+their rows spread over several slices. There are at most rows / ``ROWS_PER_SLICE`` such
+keys; none is left out. Their list is stored once, and broadcast if it is small.
 """
 from collections.abc import Sequence
 from functools import reduce
@@ -12,42 +10,51 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickrev.sources.files import join_path
+from clickrev.sources.workspace import workspace
+
 ROWS_PER_SLICE = 1_000_000
-MAX_HEAVY_KEYS = 10_000
+BROADCAST_KEYS = 1_000_000
 
 
 def heavy_keys(
     df: DataFrame, keys: Sequence[str], *aggregates: Column, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """The heaviest keys of ``df``: ``keys``, the ``aggregates``, and ``_slices`` >= 2.
-
-    Ordered by row count and key, so every evaluation gives the same list.
-    """
+    """The heaviest keys of ``df``: ``keys``, the ``aggregates``, and ``_slices`` >= 2."""
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
         .filter(F.col("_rows") > rows_per_slice)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(MAX_HEAVY_KEYS)
         .withColumn("_slices", F.ceil(F.col("_rows") / rows_per_slice))
         .drop("_rows")
     )
 
 
+def stored_list(heavy: DataFrame) -> DataFrame:
+    """The list as a small table, so that several mentions count the rows once."""
+    spark = heavy.sparkSession
+    path = join_path(workspace(spark, "heavy-keys"), "table")
+    heavy.write.parquet(path)
+    stored = spark.read.schema(heavy.schema).parquet(path)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_KEYS else stored
+
+
 def mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the other columns of ``heavy`` to ``df``, NULL for ordinary keys. NULL keys match."""
     renamed = heavy.withColumnsRenamed({key: f"_heavy_{key}" for key in keys})
     same_key = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_heavy_{key}")) for key in keys])
-    return df.join(F.broadcast(renamed), same_key, "left").drop(*[f"_heavy_{key}" for key in keys])
+    return df.join(renamed, same_key, "left").drop(*[f"_heavy_{key}" for key in keys])
 
 
-def slice_of_row() -> Column:
+def slice_of_row(columns: Sequence[str]) -> Column:
     """Slice of a row marked by :func:`mark_heavy`; 0 for ordinary keys.
 
-    Taken from the input partition, so a re-run task puts its rows where the
-    lost one did.
+    Taken from the values of the row, so it spreads rows however they lie, and a re-run
+    task puts its rows where the lost one did. Equal rows of one input partition stay
+    together.
     """
-    return F.coalesce(F.pmod(F.spark_partition_id(), F.col("_slices")), F.lit(0))
+    row = F.xxhash64(*columns, F.spark_partition_id())
+    return F.coalesce(F.pmod(row, F.col("_slices")), F.lit(0))
 
 
 def join_one_to_many(
@@ -70,13 +77,13 @@ def join_one_to_many(
         raise ValueError(f"how must be inner or left, not {how}")
     if not nulls_match:
         many = many.filter(reduce(and_, [F.col(key).isNotNull() for key in keys]))
-    heavy = heavy_keys(many, keys, rows_per_slice=rows_per_slice)
+    heavy = stored_list(heavy_keys(many, keys, rows_per_slice=rows_per_slice))
 
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_slices", F.lit(1)) - 1))
     left = mark_heavy(one, heavy, keys).withColumn("_slice", copies)
     right = (
         mark_heavy(many, heavy, keys)
-        .withColumn("_many_slice", slice_of_row())
+        .withColumn("_many_slice", slice_of_row(many.columns))
         .drop("_slices")
         .withColumnsRenamed({key: f"_many_{key}" for key in keys})
         .withColumn("_matched", F.lit(True))

@@ -20,7 +20,8 @@ from clickrev.operators.sessions import session_search_origin
 from clickrev.session import apply_sizing, build_session
 from clickrev.sources.files import join_path, total_bytes
 from clickrev.sources.readers import read_all_hits, read_product_level
-from clickrev.sources.writers import counted, publish_report, report_file_name
+from clickrev.sources.workspace import discard, workspace
+from clickrev.sources.writers import publish_report, report_file_name, write_parquet
 
 log = logging.getLogger(__name__)
 
@@ -42,17 +43,33 @@ def curate(
 ) -> str:
     """Publish the report of the conformed tables; returns its path.
 
-    ``run_date`` (today by default) is part of the file name.
+    ``run_date`` (today by default) is part of the file name. Sessions and purchases are
+    stored on the way, in the shared folder: their counts are logged, none is observed in
+    a plan that adaptive execution may cut.
     """
     hits = read_all_hits(spark, join_path(conformed_dir, ALL_HITS))
     products = read_product_level(spark, join_path(conformed_dir, PRODUCT_LEVEL))
-    sessions, session_count = counted(session_search_origin(hits, engines))
-    purchases, purchase_count = counted(purchase_revenue(products))
+    log.info("read %d hits", hits.count())  # counts of Parquet tables: from their footers
+    log.info("read %d products", products.count())
 
-    report = revenue_by_keyword(sessions, purchases).withColumnsRenamed(REPORT_HEADINGS)
-    path = publish_report(report, out_dir, report_file_name(run_date or date.today()))
-    log.info("%d visitors came from a search engine", session_count.get["rows"])
-    log.info("%d products were bought", purchase_count.get["rows"])
+    folder = workspace(spark, "curate")
+    tables = {
+        "sessions": session_search_origin(hits, engines),
+        "purchases": purchase_revenue(products),
+    }
+    rows, stored = {}, {}
+    for name, df in tables.items():
+        path = join_path(folder, name)
+        rows[name] = write_parquet(df, path)
+        stored[name] = spark.read.schema(df.schema).parquet(path)
+    log.info("%d visitors came from a search engine", rows["sessions"])
+    log.info("%d products were bought", rows["purchases"])
+
+    report = revenue_by_keyword(stored["sessions"], stored["purchases"])
+    path = publish_report(
+        report.withColumnsRenamed(REPORT_HEADINGS), out_dir, report_file_name(run_date or date.today())
+    )
+    discard(spark, folder)
     return path
 
 

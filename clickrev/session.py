@@ -14,10 +14,7 @@ SETTINGS = {
 # Reduce tasks are sized for shuffled rows, which are a small part of the input
 # here (narrow columns, reduced per task before each shuffle).
 _INPUT_BYTES_PER_SHUFFLE_PARTITION = 4 << 30
-_MIN_SHUFFLE_PARTITIONS = 200
-_MAX_SHUFFLE_PARTITIONS = 20_000
-_LARGE_INPUT_BYTES = 1 << 40
-_LARGE_INPUT_SPLIT = "512m"
+_PARTITIONS_OF_ANY_INPUT = 200
 
 
 def build_session(app_name: str, **settings: str) -> SparkSession:
@@ -26,19 +23,13 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
 
 
 def sizing_for(input_bytes: int) -> dict[str, str]:
-    """Settings that fit an input of ``input_bytes``.
+    """Settings that fit an input of ``input_bytes``: one rule for every size.
 
-    Adaptive execution merges shuffle partitions that turn out small but cannot
-    split an aggregate's, so their number is set from the input: 100 TB gives
-    20,000. Splits of 512 MB from 1 TB on keep the number of map tasks, and with
-    it the rows per visitor that survive the map-side reduction, low.
+    Adaptive execution merges shuffle partitions that turn out small but cannot split an
+    aggregate's, so their number grows with the input; 100 TB gives 25,800.
     """
-    partitions = -(-input_bytes // _INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    partitions = min(max(partitions, _MIN_SHUFFLE_PARTITIONS), _MAX_SHUFFLE_PARTITIONS)
-    settings = {"spark.sql.shuffle.partitions": str(partitions)}
-    if input_bytes >= _LARGE_INPUT_BYTES:
-        settings["spark.sql.files.maxPartitionBytes"] = _LARGE_INPUT_SPLIT
-    return settings
+    grown = -(-input_bytes // _INPUT_BYTES_PER_SHUFFLE_PARTITION)
+    return {"spark.sql.shuffle.partitions": str(_PARTITIONS_OF_ANY_INPUT + grown)}
 
 
 def apply_sizing(spark: SparkSession, input_bytes: int) -> None:

@@ -1,4 +1,6 @@
 """The few file-system calls Spark's readers and writers do not cover, through Hadoop."""
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -29,12 +31,26 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file or folder to ``target``, replacing what was there."""
-    delete(spark, target)
+    """Move a file or folder to ``target``, replacing what was there.
+
+    What was there is moved aside first and comes back if the move fails.
+    """
     fs, source_path = _path(spark, source)
     _, target_path = _path(spark, target)
-    if not fs.rename(source_path, target_path):
-        raise OSError(f"cannot move {source} to {target}")
+    _, aside = _path(spark, f"{target}.replaced-{uuid4().hex}")
+    earlier = fs.exists(target_path)
+    if earlier and not fs.rename(target_path, aside):
+        raise OSError(f"cannot move {target} aside")
+    moved = False
+    try:
+        moved = fs.rename(source_path, target_path)
+        if not moved:
+            raise OSError(f"cannot move {source} to {target}")
+    finally:
+        if earlier and not moved:
+            fs.rename(aside, target_path)
+    if earlier:
+        fs.delete(aside, True)
 
 
 def single_part(spark: SparkSession, folder: str) -> str:

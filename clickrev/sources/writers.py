@@ -1,10 +1,10 @@
-"""Sinks. Row counts are observed while writing and cost no extra job."""
+"""Sinks. Row counts come from the footers of the files written."""
 import logging
 from collections.abc import Sequence
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickrev.fixed_values import (
     REPORT_DATE_FORMAT,
@@ -16,30 +16,26 @@ from clickrev.sources.files import delete, join_path, replace, single_part
 
 log = logging.getLogger(__name__)
 
-# A report of this many rows is about 250 MB of text, an easy single task.
-SINGLE_FILE_ROWS = 5_000_000
-
-
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` with an observation that yields ``rows`` after the next action on it."""
-    observation = Observation()
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
-
 
 def write_parquet(df: DataFrame, path: str) -> int:
-    """Write ``df`` as Parquet, replacing what was there; returns the number of rows."""
-    observed, observation = counted(df)
-    observed.write.mode("overwrite").parquet(path)
-    rows = observation.get["rows"]
+    """Write ``df`` as Parquet, replacing what was there; returns the number of rows.
+
+    The count comes from the footers of the files just written, so it holds whatever
+    adaptive execution made of the plan, also for an empty table.
+    """
+    df.write.mode("overwrite").parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).count()
     log.info("wrote %d rows to %s", rows, path)
     return rows
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """Write ``df`` as CSV with a header, replacing what was there; returns the number of rows."""
-    observed, observation = counted(df)
-    observed.write.mode("overwrite").option("header", True).csv(path)
-    rows = observation.get["rows"]
+    """Write ``df`` as CSV with a header, replacing what was there; returns the number of rows.
+
+    ``df`` is counted apart, which costs next to nothing if it is a Parquet table.
+    """
+    df.write.mode("overwrite").option("header", True).csv(path)
+    rows = df.count()
     log.info("wrote %d rows to %s", rows, path)
     return rows
 
@@ -54,40 +50,37 @@ def _best_first() -> Sequence[Column]:
 
 
 def publish_report(
-    report: DataFrame, out_dir: str, file_name: str, *, single_file_rows: int = SINGLE_FILE_ROWS
+    report: DataFrame, out_dir: str, file_name: str, *, single_file: bool = True
 ) -> str:
-    """Write the report as a tab-delimited file with a header, best keyword first.
+    """Write the report as tab-delimited text, best keyword first.
 
-    ``report`` may come in any order. It is computed once, in parallel, into a
-    staging table beside the target; its row count then decides how the text is
-    written. Up to ``single_file_rows`` it becomes one file called ``file_name``.
-    A larger one becomes a folder of that name whose part files, read in the
-    order of their names, hold the rows in order: one task would be no match for
-    it. Amounts are printed with two decimals, never in scientific notation.
+    ``report`` may come in any order. It is computed once, in parallel, into a staging
+    table beside the target. By default the text is one file called ``file_name`` with a
+    header, which one task sorts and writes, however many rows there are. With
+    ``single_file=False`` it is a folder of that name whose part files, read in the order
+    of their names, hold the rows in order and no header. Amounts are printed with two
+    decimals, never in scientific notation.
 
-    Replaces an earlier report of the same name, and raises if it cannot.
-    Returns the path of the file or folder.
+    Replaces an earlier report of the same name, and raises if it cannot; the earlier
+    report then is still there, and so are the staged rows. Returns the path.
     """
     spark = report.sparkSession
     target = join_path(out_dir, file_name)
     staging = join_path(out_dir, f"_staging-{uuid4().hex}")
     revenue = REPORT_HEADINGS["revenue"]
 
-    try:
-        rows = write_parquet(report, join_path(staging, "rows"))
-        staged = spark.read.parquet(join_path(staging, "rows"))
-        small = rows <= single_file_rows
-        ordered = (
-            staged.coalesce(1).sortWithinPartitions(*_best_first())
-            if small
-            else staged.orderBy(*_best_first())
-        )
-        text = join_path(staging, "text")
-        ordered.withColumn(revenue, F.col(revenue).cast("decimal(38,2)")).write.csv(
-            text, header=True, sep=REPORT_SEPARATOR
-        )
-        replace(spark, single_part(spark, text) if small else text, target)
-    finally:
-        delete(spark, staging)
+    rows = write_parquet(report, join_path(staging, "rows"))
+    staged = spark.read.schema(report.schema).parquet(join_path(staging, "rows"))
+    ordered = (
+        staged.coalesce(1).sortWithinPartitions(*_best_first())
+        if single_file
+        else staged.orderBy(*_best_first())
+    )
+    text = join_path(staging, "text")
+    ordered.withColumn(revenue, F.col(revenue).cast("decimal(38,2)")).write.csv(
+        text, header=single_file, sep=REPORT_SEPARATOR
+    )
+    replace(spark, single_part(spark, text) if single_file else text, target)
+    delete(spark, staging)
     log.info("published %d report rows as %s", rows, target)
     return target

@@ -45,45 +45,56 @@ BING = "http://www.bing.com/search?q="
 YAHOO = "http://search.yahoo.com/search?p="
 SHOP = "http://shop.example.com/cart/"
 
-# Four visitors. Two search for the same word in different case, one of them and
-# the last enter on a page without products, and the last buys nothing.
+ASK = "http://uk.ask.com/web?q="
+AOL = "http://search.aol.com/aol/search?query="
+DUCK = "https://duckduckgo.com/?q="
+
+# A garden shop. Two visitors search for the same words in different case and coding, one
+# enters on a product page, one comes from inside the shop, one never buys a single item.
 SHOP_VISITS = [
-    {"ip": "10.1.1.1", "hit_time_gmt": 100, "referrer": GOOGLE + "Walkman&aq=f"},
-    {"ip": "10.1.1.2", "hit_time_gmt": 110, "referrer": BING + "Radio&go=", "event_list": "2",
-     "product_list": "Audio;Radio 3;1;;"},
-    {"ip": "10.1.1.3", "hit_time_gmt": 120, "referrer": YAHOO + "record+player&toggle=1"},
-    {"ip": "10.1.1.4", "hit_time_gmt": 130, "referrer": GOOGLE + "walkman"},
-    {"ip": "10.1.1.1", "hit_time_gmt": 140, "referrer": SHOP, "event_list": "2",
-     "product_list": "Audio;Walkman S;1;;"},
-    {"ip": "10.1.1.4", "hit_time_gmt": 150, "referrer": SHOP, "event_list": "2",
-     "product_list": "Audio;Walkman M;1;;"},
-    {"ip": "10.1.1.4", "hit_time_gmt": 160, "referrer": SHOP, "event_list": "12"},
-    {"ip": "10.1.1.2", "hit_time_gmt": 170, "referrer": SHOP, "event_list": "11"},
+    {"ip": "10.2.0.7", "hit_time_gmt": 50, "referrer": ASK + "Garden+Hose", "event_list": "2",
+     "product_list": "Tools;Hose 20m;1;;"},
+    {"ip": "10.2.0.4", "hit_time_gmt": 55, "referrer": ASK + "garden%20hose"},
+    {"ip": "10.2.0.9", "hit_time_gmt": 61, "referrer": AOL + "Rake"},
+    {"ip": "10.2.0.6", "hit_time_gmt": 64, "referrer": DUCK + "lamp+oil&ia=web"},
+    {"ip": "10.2.0.5", "hit_time_gmt": 70, "referrer": SHOP},
+    {"ip": "10.2.0.9", "hit_time_gmt": 75, "referrer": SHOP, "event_list": "2,10",
+     "product_list": "Tools;Rake;1;;,Tools;Gloves;1;;"},
+]
+SHOP_SESSIONS = [
+    ("10.2.0.4", "ask.com", "garden hose"),
+    ("10.2.0.6", "duckduckgo.com", "lamp oil"),
+    ("10.2.0.7", "ask.com", "garden hose"),
+    ("10.2.0.9", "aol.com", "rake"),
 ]
 SINGLE_ORDERS = [
-    {"ip": "10.1.1.2", "hit_time_gmt": 180, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Radio 3;1;250;"},
-    {"ip": "10.1.1.4", "hit_time_gmt": 190, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Walkman M;1;190;"},
-    {"ip": "10.1.1.1", "hit_time_gmt": 200, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Walkman L;1;290;"},
+    {"ip": "10.2.0.7", "hit_time_gmt": 90, "referrer": SHOP, "event_list": "1",
+     "product_list": "Tools;Hose 20m;2;37.5;"},
+    {"ip": "10.2.0.9", "hit_time_gmt": 92, "referrer": SHOP, "event_list": "1",
+     "product_list": "Tools;Rake;1;12.25;"},
+    {"ip": "10.2.0.9", "hit_time_gmt": 97, "referrer": SHOP, "event_list": "12,1",
+     "product_list": "Garden;Gloves;3;8;"},
+    {"ip": "10.2.0.4", "hit_time_gmt": 99, "referrer": SHOP, "event_list": "1",
+     "product_list": "Garden;Sprinkler;1;21.75;"},
+    {"ip": "10.2.0.5", "hit_time_gmt": 101, "referrer": SHOP, "event_list": "1",
+     "product_list": "Garden;Bench;1;140;"},
 ]
 SINGLE_ORDER_REPORT = [
-    ("google.com", "walkman", 480.0),
-    ("bing.com", "radio", 250.0),
-    ("yahoo.com", "record player", 0.0),
+    ("ask.com", "garden hose", 59.25),
+    ("aol.com", "rake", 20.25),
+    ("duckduckgo.com", "lamp oil", 0.0),
 ]
-# Two products per order; the first entry lacks the closing semicolon.
+# Two products per order, with and without the last semicolons.
 DOUBLE_ORDERS = [
-    {"ip": "10.1.1.2", "hit_time_gmt": 180, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Radio 3;1;250,Audio;Walkman L;1;290;"},
-    {"ip": "10.1.1.4", "hit_time_gmt": 190, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Walkman M;1;190,Games;Console;1;550;"},
-    {"ip": "10.1.1.1", "hit_time_gmt": 200, "referrer": SHOP, "event_list": "1",
-     "product_list": "Audio;Walkman L;1;290,Audio;Radio 3;1;250;"},
+    {"ip": "10.2.0.4", "hit_time_gmt": 90, "referrer": SHOP, "event_list": "1",
+     "product_list": "Garden;Sprinkler;1;21.75,Tools;Hose 20m;1;18.5;"},
+    {"ip": "10.2.0.9", "hit_time_gmt": 95, "referrer": SHOP, "event_list": "1",
+     "product_list": "Tools;Rake;1;12.25;,Garden;Gloves;3;8"},
+    {"ip": "10.2.0.6", "hit_time_gmt": 99, "referrer": SHOP, "event_list": "1",
+     "product_list": "Garden;Lamp;2;70.5;,Garden;Oil;4;9.5;300"},
 ]
 DOUBLE_ORDER_REPORT = [
-    ("google.com", "walkman", 1280.0),
-    ("bing.com", "radio", 540.0),
-    ("yahoo.com", "record player", 0.0),
+    ("duckduckgo.com", "lamp oil", 80.0),
+    ("ask.com", "garden hose", 40.25),
+    ("aol.com", "rake", 20.25),
 ]

@@ -39,7 +39,7 @@ def report_rows(path):
 
 @pytest.mark.parametrize(
     ("orders", "products", "report"),
-    [(SINGLE_ORDERS, 6, SINGLE_ORDER_REPORT), (DOUBLE_ORDERS, 9, DOUBLE_ORDER_REPORT)],
+    [(SINGLE_ORDERS, 8, SINGLE_ORDER_REPORT), (DOUBLE_ORDERS, 9, DOUBLE_ORDER_REPORT)],
 )
 def test_raw_file_to_report(spark, scratch, caplog, orders, products, report):
     caplog.set_level(logging.INFO)
@@ -76,6 +76,25 @@ def test_running_again_replaces_everything(spark, scratch):
     assert sorted(os.listdir(conformed)) == ["all_hits", "product_level"]
 
 
+@pytest.mark.parametrize(
+    ("rows", "report", "sessions", "purchases"),
+    [
+        (SHOP_VISITS, [(e, k, 0.0) for e, k, _ in sorted(SINGLE_ORDER_REPORT)], 4, 0),
+        (SINGLE_ORDERS, [], 0, 5),
+        ([{"ip": "10.2.0.5"}], [], 0, 0),
+    ],
+    ids=["no purchase", "no search", "neither"],
+)
+def test_a_day_without_purchases_or_searches(spark, scratch, caplog, rows, report, sessions, purchases):
+    caplog.set_level(logging.INFO)
+    conform(spark, raw_file(scratch, rows), f"{scratch}/conformed", csv_copies=False)
+    path = curate(spark, f"{scratch}/conformed", f"{scratch}/curated", date(2024, 1, 2))
+    assert report_rows(path) == report
+    assert f"read {len(rows)} hits" in caplog.text
+    assert f"{sessions} visitors came from a search engine" in caplog.text
+    assert f"{purchases} products were bought" in caplog.text
+
+
 def test_command_lines(spark, scratch, monkeypatch):
     # the package exports functions of the same names
     conform_module = importlib.import_module("clickrev.plans.conform")
@@ -102,8 +121,5 @@ def test_a_report_that_cannot_be_published_fails_the_job(spark, scratch):
 
 
 def test_settings_grow_with_the_input():
-    assert sizing_for(0) == {"spark.sql.shuffle.partitions": "200"}
-    assert sizing_for(2 << 40) == {
-        "spark.sql.shuffle.partitions": "512", "spark.sql.files.maxPartitionBytes": "512m",
-    }
-    assert sizing_for(100 << 40)["spark.sql.shuffle.partitions"] == "20000"
+    partitions = [int(sizing_for(n << 40)["spark.sql.shuffle.partitions"]) for n in (0, 2, 100, 300)]
+    assert partitions == [200, 712, 25_800, 77_000]

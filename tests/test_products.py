@@ -8,15 +8,19 @@ from data import column, frame, hits
 
 
 PRODUCT_LISTS = [
-    ("Audio;Walkman M;1;190;", [("Audio", "Walkman M", 1, 190.0, None)]),
-    ("PC;Tower;1;1000;200|201", [("PC", "Tower", 1, 1000.0, "200|201")]),
+    ("Garden;Rake;3;44.85;", [("Garden", "Rake", 3, 44.85, None)]),
+    ("Garden;Seeds;12;6;9|17=3", [("Garden", "Seeds", 12, 6.0, "9|17=3")]),
     (
-        "PC;Tower;1;1000;200|201,Office;Pens;4;4.00;205|206|207",
-        [("PC", "Tower", 1, 1000.0, "200|201"), ("Office", "Pens", 4, 4.0, "205|206|207")],
+        "Tools;Saw;2;31;5,Paint;Blue 2l;7;63.70;8|9,Paint;Brush;1;2.2;",
+        [
+            ("Tools", "Saw", 2, 31.0, "5"),
+            ("Paint", "Blue 2l", 7, 63.7, "8|9"),
+            ("Paint", "Brush", 1, 2.2, None),
+        ],
     ),
-    ("Audio;Radio;1;;", [("Audio", "Radio", 1, None, None)]),
-    ("Audio;Radio;1;250", [("Audio", "Radio", 1, 250.0, None)]),
-    ("  Audio;Radio;1;250;  ", [("Audio", "Radio", 1, 250.0, None)]),
+    ("Paint;Roller;2;;", [("Paint", "Roller", 2, None, None)]),
+    ("Paint;Roller;2;15.5", [("Paint", "Roller", 2, 15.5, None)]),
+    ("  Paint;Roller;2;15.5; ", [("Paint", "Roller", 2, 15.5, None)]),
     ("A;B;1;5;7|8, ,C;D;2;1.25", [("A", "B", 1, 5.0, "7|8"), ("C", "D", 2, 1.25, None)]),
     ("Cat;Name", [("Cat", "Name", None, None, None)]),
     ("Only", [("Only", None, None, None, None)]),

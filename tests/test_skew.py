@@ -1,33 +1,24 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickrev.operators import skew
 from clickrev.operators.skew import heavy_keys, join_one_to_many, mark_heavy, slice_of_row
 from data import column, frame, rows_of
 
 KEYS = "k string, v int"
 
 
-def test_heavy_keys_are_few_and_come_with_their_slices(spark, monkeypatch):
+def test_all_heavy_keys_come_with_their_slices(spark):
     rows = [("a", i) for i in range(95)] + [("b", i) for i in range(40)] + [("c", i) for i in range(10)]
     df = frame(spark, KEYS, *rows)
     assert rows_of(heavy_keys(df, ["k"], rows_per_slice=10)) == [("a", 10), ("b", 4)]
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 1)
-    assert rows_of(heavy_keys(df, ["k"], F.max("v").alias("top"), rows_per_slice=10)) == [("a", 94, 10)]
+    assert rows_of(heavy_keys(df, ["k"], F.max("v").alias("top"), rows_per_slice=50)) == [("a", 94, 2)]
 
 
-def test_keys_beyond_the_bound_are_joined_all_the_same(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 1)
-    many = frame(spark, KEYS, *[(k, i) for k in "abc" for i in range(30)]).repartition(5)
-    one = frame(spark, "k string, name string", *[(k, k.upper()) for k in "abcd"])
-    joined = join_one_to_many(one, many, ["k"], "left", rows_per_slice=10)
-    assert rows_of(joined) == rows_of(one.join(many, "k", "left"))
-
-
-def test_rows_of_a_heavy_key_are_spread(spark):
-    many = frame(spark, KEYS, *[("hot", i) for i in range(800)], ("cold", 1)).repartition(8)
+@pytest.mark.parametrize("dealt", [(8,), (8, "k"), (1,)])
+def test_rows_of_a_heavy_key_are_spread_however_they_lie(spark, dealt):
+    many = frame(spark, KEYS, *[("hot", i) for i in range(800)], ("cold", 1)).repartition(*dealt)
     marked = mark_heavy(many, heavy_keys(many, ["k"], rows_per_slice=100), ["k"])
-    slices = marked.groupBy("k", slice_of_row().alias("slice")).count()
+    slices = marked.groupBy("k", slice_of_row(many.columns).alias("slice")).count()
     sizes = {(row.k, row.slice): row["count"] for row in slices.collect()}
     assert sizes.pop(("cold", 0)) == 1
     assert len(sizes) == 8 and max(sizes.values()) < 200

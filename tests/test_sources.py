@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 from clickrev.fixed_values import ALL_HITS_COLUMNS, REPORT_HEADINGS
+from clickrev.sources import writers
 from clickrev.sources import (
     publish_report,
     read_all_hits,
@@ -121,24 +122,35 @@ def test_the_report_is_one_sorted_file(spark, scratch):
 def test_a_large_report_is_a_folder_of_ordered_parts(spark, scratch):
     rows = [("e.com", f"k{i:03}", float(i * 7 % 101)) for i in range(100)]
     report = frame(spark, REPORT, *rows).repartition(5)
-    path = publish_report(report, scratch, "big.tab", single_file_rows=99)
+    path = publish_report(report, scratch, "big.tab", single_file=False)
     assert os.path.isdir(path)
     parts = sorted(entry for entry in os.listdir(path) if entry.startswith("part-"))
-    lines = [line for part in parts for line in read_text(os.path.join(path, part)).splitlines()[1:]]
+    lines = [line for part in parts for line in read_text(os.path.join(path, part)).splitlines()]
     expected = sorted(rows, key=lambda row: (-row[2], row[0], row[1]))
     assert lines == [f"{engine}\t{keyword}\t{revenue:.2f}" for engine, keyword, revenue in expected]
 
 
-@pytest.mark.parametrize("first_limit", [0, 10])
-@pytest.mark.parametrize("second_limit", [0, 10])
-def test_publishing_again_replaces_file_or_folder(spark, scratch, first_limit, second_limit):
-    for revenue, limit in ((1.0, first_limit), (2.0, second_limit)):
+@pytest.mark.parametrize("first", [True, False])
+@pytest.mark.parametrize("second", [True, False])
+def test_publishing_again_replaces_file_or_folder(spark, scratch, first, second):
+    for revenue, single_file in ((1.0, first), (2.0, second)):
         report = frame(spark, REPORT, ("a.com", "k", revenue))
-        path = publish_report(report, scratch, "r.tab", single_file_rows=limit)
-        read = spark.read.csv(path, sep="\t", header=True, schema=REPORT)
+        path = publish_report(report, scratch, "r.tab", single_file=single_file)
+        read = spark.read.csv(path, sep="\t", header=single_file, schema=REPORT)
         assert rows_of(read) == [("a.com", "k", revenue)]
 
 
+def test_a_failed_publish_keeps_the_earlier_report_and_the_staged_rows(spark, scratch, monkeypatch):
+    path = publish_report(frame(spark, REPORT, ("a.com", "k", 1.0)), scratch, "r.tab")
+    before = read_text(path)
+    monkeypatch.setattr(writers, "single_part", lambda spark, folder: f"{folder}/none")
+    with pytest.raises(OSError):
+        publish_report(frame(spark, REPORT, ("a.com", "k", 2.0)), scratch, "r.tab")
+    assert read_text(path) == before
+    staging = [entry for entry in os.listdir(scratch) if entry.startswith("_staging-")]
+    assert rows_of(spark.read.parquet(f"{scratch}/{staging[0]}/rows")) == [("a.com", "k", 2.0)]
+
+
 def test_an_empty_report_is_a_header(spark, scratch):
     report = frame(spark, REPORT, ("a.com", "k", 1.0)).filter("Revenue > 1")
     path = publish_report(report, scratch, "empty.tab")
