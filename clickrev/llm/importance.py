@@ -144,9 +144,11 @@ def with_top_k(weights: DataFrame, k: int) -> DataFrame:
             break
     # rows alike in their keys: `left` of those in [low, high] by doc_id
     tied = weights.filter(F.col("gumbel_key").between(low, high))
-    last = tied.orderBy("doc_id", "text_hash").limit(left).agg(F.max(F.struct("doc_id", "text_hash")).alias("last")).first()["last"]
-    within = F.struct(F.col("doc_id"), F.col("text_hash")) <= F.struct(F.lit(last["doc_id"]), F.lit(last["text_hash"]))
-    return weights.withColumn("selected", (F.col("gumbel_key") > high) | ((F.col("gumbel_key") >= low) & within))
+    order = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("text_hash").alias("hash"))
+    last = tied.select(order.alias("place")).orderBy("place").limit(left).agg(F.max("place")).first()[0]
+    end = F.struct(F.lit(last["id"]).cast("long").alias("id"), F.lit(last["hash"]).cast("long").alias("hash"))
+    taken = (F.col("gumbel_key") >= low) & (order <= end)
+    return weights.withColumn("selected", (F.col("gumbel_key") > high) | taken)
 
 
 def importance_sample(docs: DataFrame, labels: DataFrame, share: float = KEPT_SHARE, seed: int = 0) -> DataFrame:

@@ -39,7 +39,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _ASSIGNED = re.compile(r"""\s*[=:]\s*(["']?)([^\s"']{6,})\1""")
 _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
-_IDENTIFIER = re.compile(r"[\s:#=.]*(?:no|nr|number)?[\s:#=.]*([A-Z]{2}[0-9]{2}[0-9A-Z ]{10,30}|[0-9][0-9 -]{4,30}[0-9])", re.I)
+_IDENTIFIER = re.compile(
+    r"[\s:#=.]*(?:[Nn]o|[Nn]r|[Nn]umber)?[\s:#=.]*"
+    r"([A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)(?![0-9A-Za-z])"
+    r"|[0-9][0-9 -]{4,30}[0-9])"
+)
 _URL = re.compile(r"://[^\s/@?#\"'<>]+@[^\s\"'<>]+")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*$")
 
