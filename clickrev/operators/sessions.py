@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, functions as F
 from clickrev.fixed_values import SEARCH_ENGINES
 from clickrev.functions.referrer import Engines, search_engine, search_keyword
 from clickrev.functions.url import host_of, without_line_breaks
-from clickrev.operators.ranking import entry_times, ordered_time
 
 
 def with_search_origin(
@@ -35,19 +34,24 @@ def session_search_origin(hits: DataFrame, engines: Engines = SEARCH_ENGINES) ->
     Of several hits at that time a search-driven one goes first, then the
     smallest engine and keyword, so the result does not depend on partitioning.
 
-    The earliest time of a visitor is a hash aggregate of two columns; each task reduces
-    its hits to one row per visitor before the shuffle. Only hits driven by a search are
-    looked at for engine and keyword, reduced per visitor and second likewise.
+    One aggregate instead of rank, filter and dedupe: each task reduces its hits
+    to one row per visitor before the only shuffle, so a very busy ``ip`` costs
+    its reducer one row per task.
     """
     from_search = F.coalesce(F.col("search_keyword") != "", F.lit(False))
-    searched = (
+    entry = F.min(
+        F.struct(
+            "hit_time_gmt",
+            (~from_search).alias("other"),
+            F.when(from_search, F.col("search_engine_domain")).alias("search_engine_domain"),
+            F.when(from_search, F.col("search_keyword")).alias("search_keyword"),
+        )
+    )
+    return (
         hits.select("ip", "hit_time_gmt", "referrer")
         .transform(with_search_origin, "referrer", engines)
-        .filter(from_search)
-        .groupBy("ip", ordered_time().alias("_time"))
-        .agg(F.min(F.struct("search_engine_domain", "search_keyword")).alias("entry"))
-    )
-    at_entry = F.col("ip").eqNullSafe(F.col("_ip")) & (F.col("_time") == F.col("_entry"))
-    return searched.join(entry_times(hits), at_entry).select(
-        "ip", "entry.search_engine_domain", "entry.search_keyword"
+        .groupBy("ip")
+        .agg(entry.alias("entry"))
+        .filter(~F.col("entry.other"))
+        .select("ip", "entry.search_engine_domain", "entry.search_keyword")
     )
