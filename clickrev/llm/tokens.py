@@ -3,12 +3,15 @@
 The byte-level tokenizer never merges across the start of a word, so the ids of a
 text are those of its words one after another. Words repeat, so each is encoded once
 per worker and the rest is a look-up. Words are encoded by the ``tokenizers`` library,
-many in one call.
+many in one call. Words of letters only are one piece each for the tokenizer, so they go
+to its model without being searched for pieces.
 """
+import os
 from collections.abc import Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 0
@@ -23,6 +26,24 @@ _OTHER_SPACES = [
     c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"
 ]
 
+# Letters up to here are letters for every version of Unicode that a library may know.
+_LAST_LETTER = "\u024f"
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for signs from 256 on, in order. The
+    line break's stands alone, as a piece.
+    """
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    signs = {b: chr(256 + k) for k, b in enumerate(others)}
+    signs[10] = f"\n{signs[10]}\n"
+    return signs
+
+
+_BYTE_SIGNS = _byte_signs()
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -43,6 +64,9 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+        self._model = Tokenizer(self._tokenizer.model)
+        self._model.pre_tokenizer = WhitespaceSplit()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are parallel
         self._line_break = self._plain("\n")
         if len(self._line_break) != 4:
             raise ValueError("the tokenizer must have one id for a line break")
@@ -78,8 +102,8 @@ class WordEncoder:
         return [x if isinstance(x, bytes) else b"".join(x)[skipped:] for x in out]
 
     def _plain(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoded.ids, "<u4").tobytes()
 
     def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of words, put into the cache if they are short.
@@ -89,13 +113,17 @@ class WordEncoder:
         """
         stems = {word: _stem(word) for word in words}
         learned: dict[str, bytes] = {}
-        new = []
+        letters, new = [], []
         for stem in set(stems.values()):
             ids = self._known.get(stem)
-            if ids is None:
-                new.append(stem)
-            else:
+            if ids is not None:
                 learned[stem] = ids
+            elif _only_letters(stem):
+                letters.append(stem)
+            else:
+                new.append(stem)
+        if letters:
+            self._learn_letters(letters, learned)
         for after, prefix, before in (("\n", "", self._line_break), ("", " ", b"")):
             chunk: list[str] = []
             size = 0
@@ -117,17 +145,30 @@ class WordEncoder:
                 self._known[stem] = learned[stem]
         return learned
 
+    def _learn_letters(self, words: list[str], learned: dict[str, bytes]) -> None:
+        """Encode words of letters by the model alone, each with its blank as one piece."""
+        text = "\n".join([word[1:] if word[0] == "\n" else " " + word for word in words])
+        signs = text.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS)
+        (encoded,) = self._model.encode_batch_fast([signs], add_special_tokens=False)
+        for word, ids in zip(words, self._lines(encoded.ids), strict=True):
+            learned[word] = self._line_break + ids if word[0] == "\n" else ids
+
     def _learn_chunk(
         self, words: list[str], prefix: str, before: bytes, learned: dict[str, bytes]
     ) -> None:
-        """Encode words as lines of one text; the line breaks' ids separate them again."""
+        """Encode words as lines of one text."""
         text = "\n".join([prefix + word.removeprefix("\n") for word in words])
-        raw = self._plain(text)
-        ends = np.flatnonzero(np.frombuffer(raw, "<u4") == self._line_break_id) * 4
-        start = 0
-        for word, end in zip(words, [*ends.tolist(), len(raw)], strict=True):
-            learned[word] = before + raw[start:end]
-            start = end + 4
+        (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        for word, ids in zip(words, self._lines(encoded.ids), strict=True):
+            learned[word] = before + ids
+
+    def _lines(self, ids: list[int]) -> list[bytes]:
+        """The ids of each line, which those of the line breaks separate."""
+        values = np.array(ids, "<u4")
+        raw = values.tobytes()
+        ends = (np.flatnonzero(values == self._line_break_id) * 4).tolist()
+        starts = [0, *[end + 4 for end in ends]]
+        return [raw[start:end] for start, end in zip(starts, [*ends, len(raw)], strict=True)]
 
     def _signs(self, signs: str) -> bytes:
         ids = self._signs_known.get(signs)
@@ -148,6 +189,11 @@ def _places_of_none(values: list) -> list[int]:
         return places
 
 
+def _only_letters(word: str) -> bool:
+    letters = word.removeprefix("\n")
+    return letters.isalpha() and max(letters) <= _LAST_LETTER
+
+
 def _stem(word: str) -> str:
     stem = word.rstrip(_SIGNS)
     return stem if stem and stem[-1].isalpha() else word
