@@ -22,6 +22,7 @@ from clickrev.llm.packing import pack, pack_documents
 from clickrev.llm.preference import PREFERENCE_SQL, preference_pairs
 from clickrev.llm.site_tree import extract, low_importance_paths, main_text
 from clickrev.llm.token_frames import read_token_files, with_global_start, write_token_files
+from clickrev.llm.tokens import TOKENIZER_FILE, encoder_for
 from clickrev.llm.words import shingles
 from compare import by_name, run_sql
 
@@ -412,6 +413,17 @@ def test_a_damaged_frame_is_noticed(spark, odd, scratch):
         read_token_files(manifest).collect()
 
 
+def test_ids_of_words_are_those_of_the_whole_text(tokenizer):
+    signs = "abcZ\u00e9\u00df\u0141\u024f\u0250\u00aa\u00ba\u00b5\u00d7 'sd\n\t.,!?9\u00b2\u00bd\u0416\u4e2d\u0301\u00a0\u0085_<|>-"
+    pick = random.Random(5)
+    made = ["".join(pick.choices(signs, k=pick.randrange(40))) for _ in range(2000)]
+    made += ["", "word", "\nword", " word\nword", "<|endoftext|>", "a" * 5000]
+    encoder = encoder_for(public_tokenizers.path(TOKENIZER_FILE))
+    for _ in range(2):  # the second time from the cache
+        for text, raw in zip(made, encoder.encode(made), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, text).tolist()[:-1]
+
+
 # --- 10 pages -----------------------------------------------------------------------------------
 
 PAGE = """<html><body class="home"><header>Top</header><div id="cookie-notice">We use cookies</div>
