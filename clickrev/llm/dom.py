@@ -261,6 +261,12 @@ def content_roots(page: Page) -> list[Element]:
     return []
 
 
+def in_running_text(element: Element) -> bool:
+    """Whether it is an inline element beside text of its parent."""
+    parent = element.parent
+    return element.tag in _INLINE and parent is not None and any(text.strip() for *_, text in parent.texts)
+
+
 def _outermost(page: Page, chosen: set[int]) -> list[Element]:
     """The chosen elements that lie in no other chosen one, in page order."""
     outermost, waiting = [], [page.root]

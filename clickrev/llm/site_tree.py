@@ -10,9 +10,13 @@ removed from each page.
 
 Statistics say nothing about a host with few pages, so tags, roles and class names that mark
 menus, headers, footers, sidebars, notices, adverts, forms and comments remove branches on
-every host, and what a page itself marks as its article is never removed by statistics: an
-article that many pages of a host repeat is still their main text. Where a page marks no
-article or main element and statistics would leave nothing, they are not applied to it.
+every host. What a page marks as its article is its main text, but for branches inside it
+that say the same in many different articles of the host. Their statistics are of the
+content alone, copies of a whole article count once, and a branch goes only on pages where
+it says what at least ``MIN_PAGES`` different articles say at that path: an article that
+many pages of a host repeat is still their main text. The article itself, and inline
+elements within running text, never go. Where statistics would leave nothing of a page, they
+are not applied to it.
 
 Null html, empty html and pages without an article give empty text. Pages whose url is null
 or names no host get no statistics. Repeated pages count as pages. Very long pages are read
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickrev.llm.arrow import map_arrow, slices, staged
-from clickrev.llm.dom import Page, content_roots, parse, text_under
+from clickrev.llm.dom import Element, Page, content_roots, in_running_text, parse, text_under
 
 #: A path needs this many pages before its statistics count.
 MIN_PAGES = 4
@@ -35,6 +39,8 @@ CONTENT_WEIGHT = 0.9
 #: More low paths than this are joined by a shuffle instead of a broadcast.
 BROADCAST_PATHS = 100_000
 _ROWS_AT_ONCE = 256
+#: Kind of the counts of content inside the article; 0 is content outside, 1 presentation.
+_INSIDE = 2
 
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 
@@ -72,9 +78,34 @@ def path_digests(page: Page) -> list[tuple[int, int, int]]:
     ]
 
 
+def article_digests(roots: list[Element]) -> tuple[int, dict[int, int]]:
+    """The digest of the whole article, and per path inside it that of its content."""
+    inside: list[Element] = []
+    waiting = list(reversed(roots))
+    while waiting:
+        element = waiting.pop()
+        if not element.dropped:
+            inside.append(element)
+            waiting.extend(reversed(element.children))
+    tops = {id(root) for root in roots}
+    never = {e.path for e in inside if id(e) in tops or in_running_text(e)}
+    contents: dict[int, list[str]] = {}
+    whole: dict[int, list[str]] = {}
+    for element in reversed(inside):  # children before their parents
+        own = [text.strip() for *_, text in element.texts if text.strip()]
+        for child in element.children:
+            own += whole.get(id(child), [])
+        whole[id(element)] = [str(_digest("\n".join(own)))] if own else []
+        if own and element.path not in never:
+            contents.setdefault(element.path, []).extend(whole[id(element)])
+    article = _digest("\n".join(digest for root in roots for digest in whole.get(id(root), [])))
+    return article, {path: _digest("\n".join(texts)) for path, texts in contents.items()}
+
+
 def low_importance_paths(pages: DataFrame) -> DataFrame:
     """``host, path`` of the branches to remove, from ``pages`` (url, html).
 
+    For a branch inside the article, ``path`` is its path xor the digest of its content.
     Counts are summed up by (host, path, digest) before they meet by (host, path), so the
     pages of a large host do not meet in a task; their paths do, and a site has few.
     """
@@ -85,42 +116,60 @@ def low_importance_paths(pages: DataFrame) -> DataFrame:
             for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 host = host_of(url)
                 if host and html:
-                    for path, content, layout in path_digests(parse(html)):
-                        rows += [(host, path, 0, content), (host, path, 1, layout)]
+                    page = parse(html)
+                    for path, content, layout in path_digests(page):
+                        rows += [(host, path, 0, content, 0), (host, path, 1, layout, 0)]
+                    article, inside = article_digests(content_roots(page))
+                    rows += [(host, path, _INSIDE, content, article) for path, content in inside.items()]
             if rows:
-                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64()]
+                kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["host", "path", "kind", "digest"],
+                    ["host", "path", "kind", "digest", "article"],
                 )
 
+    schema = "host STRING, path BIGINT, kind INT, digest BIGINT, article BIGINT"
     counts = (
-        map_arrow(pages, ["url", "html"], digests, "host STRING, path BIGINT, kind INT, digest BIGINT")
-        .groupBy("host", "path", "kind", "digest")
+        map_arrow(pages, ["url", "html"], digests, schema)
+        .groupBy("host", "path", "kind", "digest", "article")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("host", "path", "kind", "digest")
+        .agg(F.sum(F.when(F.col("kind") == _INSIDE, F.lit(1)).otherwise(F.col("n"))).alias("n"))
     )
+    counts = staged(pages.sparkSession, counts, "path-counts")
+    inside = F.col("kind") == _INSIDE
     by_kind = counts.groupBy("host", "path", "kind").agg(
         F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")
     )
     entropy = (F.log("pages") - F.col("n_log_n") / F.col("pages")) / F.log("pages")
-    weight = F.when(F.col("kind") == 0, F.lit(CONTENT_WEIGHT)).otherwise(F.lit(1 - CONTENT_WEIGHT))
-    return (
+    weight = (
+        F.when(inside, F.lit(1.0))
+        .when(F.col("kind") == 0, F.lit(CONTENT_WEIGHT))
+        .otherwise(F.lit(1 - CONTENT_WEIGHT))
+    )
+    low = (
         by_kind.filter(F.col("pages") >= MIN_PAGES)
-        .groupBy("host", "path")
+        .groupBy("host", "path", inside.alias("inside"))
         .agg(F.sum(weight * entropy).alias("importance"))
         .filter(F.col("importance") < LOW_IMPORTANCE)
-        .select("host", "path")
+    )
+    repeated = counts.filter(inside & (F.col("n") >= MIN_PAGES)).select("host", "path", "digest")
+    said = low.filter("inside").select("host", "path").join(repeated, ["host", "path"])
+    return low.filter("NOT inside").select("host", "path").unionByName(
+        said.select("host", F.col("path").bitwiseXOR(F.col("digest")).alias("path"))
     )
 
 
 def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
-    """The main text of one page, given the digests of its host's low paths."""
+    """The main text of one page, given the digests of ``low_importance_paths`` for its host."""
     if not html:
         return ""
     page = parse(html)
     roots = content_roots(page)
     if roots:
-        return text_under(roots)
+        inside = article_digests(roots)[1] if low else {}
+        removed = frozenset(path for path, content in inside.items() if path ^ content in low)
+        return text_under(roots, removed) or text_under(roots)
     return text_under([page.root], low) or text_under([page.root])
 
 

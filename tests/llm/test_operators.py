@@ -454,6 +454,19 @@ def test_branches_alike_on_every_page_of_a_host_go(spark, empty):
     assert extract(pages.limit(0)).collect() == []
 
 
+def test_branches_alike_in_different_articles_of_a_host_go(spark):
+    def page(k, box):
+        return f"<article><h1>{prose(k, 3)}</h1><p>{prose(k, 20)} <b>so</b> on</p><div class=c7>{box}</div></article>"
+
+    rows = [(k, "http://h.example/x", page(k, "Read also")) for k in range(30)]
+    rows += [(30, "http://h.example/y", page(30, "Told once"))]  # not what the others say there
+    # copies of a whole article, beside two others
+    rows += [(k, "http://copies.example/x", page(max(k, 47), "Part of it")) for k in range(40, 50)]
+    found = {row.page_id: row.text for row in extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(found[k] == f"{prose(k, 3)} {prose(k, 20)} so on" for k in range(30))
+    assert found[30].endswith("Told once") and all(found[k].endswith("Part of it") for k in range(40, 50))
+
+
 # --- the pipeline -------------------------------------------------------------------------------
 
 
