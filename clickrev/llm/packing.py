@@ -1,33 +1,44 @@
 """Lexical retrieval packing: windows of tokens filled with related documents.
 
-Each task cuts its documents into shards of bounded size and builds a BM25 inverted index
-over the token ids of a shard. The first unused document is a seed: it fills windows, and
+Documents are dealt into shards of bounded size by content: each has a few min-hash keys,
+telling token ids drawn with a chance in proportion to their inverse document frequency, so
+documents that share rare ids share keys. A range shuffle puts the documents in the order of
+their keys, wherever they lie in the input; rows alike in all keys go by their place in it,
+so a hot key or many copies are spread over several ranges. Each task cuts its range into
+shards and builds a BM25 inverted index over the token ids of a shard. Document frequencies
+and the mean length are those of the whole corpus, counted once. A document's neighbours are
+those of its shard: copies share all keys and so nearly always a shard, while looser
+relatives may be dealt to another. The first unused document is a seed: it fills windows, and
 the room left in its last one goes to its nearest unused neighbours by BM25, best first,
 ties by their order. The neighbour that does not fit is cut, its rest opens the next window
 and it is the seed there. Without a neighbour of positive score the next unused document
 goes on. So windows are full but for the last of each shard.
 
-Documents are not shuffled; a hot source or many copies change nothing. A document is one
-shard of its own if it is longer than a shard. A task that runs again, after its executor
-was lost, packs the same rows the same way.
+The token ids are stored once in the shared folder, so texts are encoded once. A document is
+one shard of its own if it is longer than a shard. A task that runs again, after its
+executor was lost, packs the same rows the same way.
 
 Null or empty text has the end id only. Repeated rows are packed one by one, and a null
 doc_id is kept. Other columns are not read.
 """
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickrev.llm.arrow import map_arrow, slices, texts_of
+from clickrev.llm.arrow import map_arrow, slices, staged, texts_of
 from clickrev.llm.tokens import END_ID, TOKENIZER_FILE, encoder_for
 
 WINDOW = 1024
 SHARD_TOKENS = 1 << 19
+#: Shards in one range of the shuffle, unless that makes fewer ranges than cores.
+RANGE_SHARDS = 16
+KEYS = 3
 _K1, _B = 1.2, 0.75
 
 _PIECES = [
@@ -42,10 +53,47 @@ _PIECES = [
 _SCHEMA = ", ".join(f"`{name}` BIGINT" for name, _ in _PIECES)
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 needs to know of all documents."""
+
+    documents: int
+    tokens: int
+    frequency: np.ndarray  # documents with each token id
+
+    def idf(self) -> np.ndarray:
+        # a term in half of the documents or more tells nothing
+        n, frequency = self.documents, self.frequency
+        return np.maximum(0.0, np.log((n - frequency + 0.5) / (frequency + 0.5)))
+
+    def ranks(self) -> np.ndarray:
+        """Per key and token id a number; a document's key is its id of the smallest.
+
+        An exponential draw over the idf, the same for all documents. Ids that tell nothing,
+        or are in one document alone, have no finite rank.
+        """
+        draws = np.random.default_rng(0).exponential(size=(KEYS, len(self.frequency)))
+        idf = np.where(self.frequency > 1, self.idf(), 0.0)
+        return np.divide(draws, idf, out=np.full_like(draws, np.inf), where=idf > 0)
+
+
+def corpus_of(documents: list[np.ndarray]) -> Corpus:
+    terms = np.concatenate([np.unique(ids) for ids in documents])
+    return Corpus(len(documents), sum(map(len, documents)), np.bincount(terms))
+
+
+def content_keys(ids: np.ndarray, ranks: np.ndarray) -> list[int]:
+    """The min-hash keys of a document, -1 without a telling id."""
+    found = ranks[:, ids]
+    best = found.argmin(axis=1)
+    return [int(ids[b]) if np.isfinite(found[k, b]) else -1 for k, b in enumerate(best)]
+
+
 class Bm25:
     """Inverted index over the token ids of a shard's documents."""
 
-    def __init__(self, documents: list[np.ndarray]) -> None:
+    def __init__(self, documents: list[np.ndarray], corpus: Corpus | None = None) -> None:
+        corpus = corpus or corpus_of(documents)
         n = len(documents)
         counted = [np.unique(ids, return_counts=True) for ids in documents]
         self._terms = [terms for terms, _ in counted]
@@ -54,9 +102,8 @@ class Bm25:
         owner = np.repeat(np.arange(n), [len(t) for t in self._terms])
         lengths = np.array([len(ids) for ids in documents], float)
         frequency = np.bincount(terms)
-        # a term in half of the documents or more tells nothing
-        idf = np.maximum(0.0, np.log((n - frequency + 0.5) / (frequency + 0.5)))
-        norm = _K1 * (1 - _B + _B * lengths / max(lengths.mean(), 1.0))
+        idf = corpus.idf()[: len(frequency)]
+        norm = _K1 * (1 - _B + _B * lengths / max(corpus.tokens / corpus.documents, 1.0))
         weights = idf[terms] * counts * (_K1 + 1) / (counts + norm[owner])
         telling = weights > 0
         order = np.argsort(terms[telling], kind="stable")
@@ -74,9 +121,11 @@ class Bm25:
         return np.bincount(self._owner[at], self._weights[at], self._size)
 
 
-def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
+def pack(
+    documents: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None
+) -> Iterator[tuple[int, int, int, int, int]]:
     """``(document, start, length, sequence, offset)`` of every piece of a shard."""
-    index = Bm25(documents)
+    index = Bm25(documents, corpus)
     used = np.zeros(len(documents), bool)
     next_unused = 0
     neighbours: Iterator[int] = iter(())
@@ -107,6 +156,91 @@ def _best_first(scores: np.ndarray, used: np.ndarray) -> Iterator[int]:
     return iter(order[(scores[order] > 0) & ~used[order]].tolist())
 
 
+def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``doc_id, width, ids``: token ids as numbers of ``width`` bytes, the end id included."""
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_for(tokenizer)
+        end = np.array([END_ID], "<u4").tobytes()
+        for batch in slices(batches):
+            ids = [np.frombuffer(raw + end, "<u4") for raw in encoder.encode(texts_of(batch))]
+            widths = [2 if one.max() < 1 << 16 else 4 for one in ids]
+            raw = [one.astype(f"<u{width}").tobytes() for one, width in zip(ids, widths, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(widths, pa.int32()), pa.array(raw, pa.binary())],
+                ["doc_id", "width", "ids"],
+            )
+
+    wanted = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    return map_arrow(wanted, ["doc_id", "text"], encode, "doc_id BIGINT, width INT, ids BINARY")
+
+
+def _ids_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for width, raw in zip(batch.column("width").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+        yield np.frombuffer(raw, f"<u{width}").astype("<u4", copy=False)
+
+
+def count_corpus(tokens: DataFrame) -> Corpus:
+    """Frequencies over all of ``tokens`` (width, ids); tasks send one row a token id."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency, n, total = np.zeros(1, np.int64), 0, 0
+        for batch in slices(batches):
+            documents = list(_ids_of(batch))
+            if documents:
+                more = corpus_of(documents)
+                size = max(len(frequency), len(more.frequency))
+                frequency = np.pad(frequency, (0, size - len(frequency)))
+                frequency[: len(more.frequency)] += more.frequency
+                n, total = n + more.documents, total + more.tokens
+        terms = np.flatnonzero(frequency)
+        yield pa.RecordBatch.from_arrays(
+            # below 0: the numbers of documents and of tokens
+            [pa.array([-1, -2, *terms], pa.int64()), pa.array([n, total, *frequency[terms]], pa.int64())],
+            ["term", "n"],
+        )
+
+    rows = (
+        map_arrow(tokens, ["width", "ids"], count, "term BIGINT, n BIGINT")
+        .groupBy("term")
+        .agg(F.sum("n").alias("n"))
+        .collect()  # at most one row per id of the vocabulary
+    )
+    counts = {row["term"]: row["n"] for row in rows}
+    frequency = np.zeros(max([0, *counts]) + 1, np.int64)
+    for term, n in counts.items():
+        if term >= 0:
+            frequency[term] = n
+    return Corpus(counts.get(-1, 0), counts.get(-2, 0), frequency)
+
+
+def dealt(tokens: DataFrame, corpus: Corpus, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """``tokens`` (a stored table) in ranges of documents in the order of their keys."""
+    context = tokens.sparkSession.sparkContext
+    shared = context.broadcast(corpus.ranks())
+    names = [f"key{k}" for k in range(KEYS)]
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value
+        for batch in slices(batches):
+            if batch.num_rows:
+                keys = zip(*(content_keys(ids, ranks) for ids in _ids_of(batch)), strict=True)
+                columns = [*batch.columns, *(pa.array(key, pa.int64()) for key in keys)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "width", "ids", *names])
+
+    schema = "doc_id BIGINT, width INT, ids BINARY, " + ", ".join(f"{name} BIGINT" for name in names)
+    shards = -(-corpus.tokens // shard_tokens)
+    ranges = max(1, -(-shards // RANGE_SHARDS), min(shards, context.defaultParallelism))
+    order = [*names, "_place"]
+    return (
+        map_arrow(tokens, ["doc_id", "width", "ids"], keyed, schema)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "width", "ids")
+    )
+
+
 def pack_documents(
     docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS
 ) -> DataFrame:
@@ -115,23 +249,23 @@ def pack_documents(
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A sequence
     id holds the number of its task and its place among the task's sequences.
     """
-    tokenizer = tokenizer or public_tokenizers.path(TOKENIZER_FILE)
+    spark = docs.sparkSession
+    tokens = staged(spark, encoded(docs, tokenizer or public_tokenizers.path(TOKENIZER_FILE)), "token-ids")
+    corpus = count_corpus(tokens)
+    shared = spark.sparkContext.broadcast(corpus)
 
     def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-        encoder = encoder_for(tokenizer)
-        end = np.array([END_ID], "<u4").tobytes()
         ids: list = []
         documents: list[np.ndarray] = []
-        tokens = 0
+        size = 0
         for batch in slices(batches):
-            encoded = encoder.encode(texts_of(batch))
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+            for doc_id, document in zip(batch.column("doc_id").to_pylist(), _ids_of(batch), strict=True):
                 ids.append(doc_id)
-                documents.append(np.frombuffer(raw + end, "<u4"))
-                tokens += len(documents[-1])
-                if tokens >= shard_tokens:
+                documents.append(document)
+                size += len(document)
+                if size >= shard_tokens:
                     yield ids, documents
-                    ids, documents, tokens = [], [], 0
+                    ids, documents, size = [], [], 0
         if documents:
             yield ids, documents
 
@@ -139,7 +273,7 @@ def pack_documents(
         sequences = TaskContext.get().partitionId() << 40
         for ids, documents in shards(batches):
             pieces = []
-            for k, start, length, sequence, offset in pack(documents, window):
+            for k, start, length, sequence, offset in pack(documents, window, shared.value):
                 crc = zlib.crc32(documents[k][start : start + length].tobytes())
                 pieces.append((ids[k], start, length, crc, len(documents[k]), sequences + sequence, offset))
             sequences += sequence + 1
@@ -149,8 +283,7 @@ def pack_documents(
                 [name for name, _ in _PIECES],
             )
 
-    wanted = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    return map_arrow(wanted, ["doc_id", "text"], rows, _SCHEMA)
+    return dealt(tokens, corpus, shard_tokens).mapInArrow(rows, _SCHEMA)
 
 
 def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

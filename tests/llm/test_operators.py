@@ -349,6 +349,18 @@ def test_windows_are_filled_with_the_nearest_documents():
     assert order[:2] == [0, 2]  # the seed's nearest, not its neighbour in the table
 
 
+def test_related_documents_of_distant_rows_share_a_window(spark):
+    # 40 texts, and 1,000 rows later a near copy of each; a shard holds a few dozen rows
+    rows = [(k, prose(k, 60)) for k in range(40)] + [(k, prose(k, 60)) for k in range(100, 1100)]
+    rows += [(2000 + k, prose(k, 60) + " end") for k in range(40)]
+    pieces = pack_documents(docs_of(spark, rows), window=512, shard_tokens=1 << 13).collect()
+    assert {piece.doc_id for piece in pieces} == {doc_id for doc_id, _ in rows}
+    windows = defaultdict(set)
+    for piece in pieces:
+        windows[piece.doc_id].add(piece.sequence_id)
+    assert sum(bool(windows[k] & windows[2000 + k]) for k in range(40)) >= 20
+
+
 # --- 8 personal data -----------------------------------------------------------------------
 
 
