@@ -303,6 +303,14 @@ def test_weights_prefer_the_target(spark, odd, empty):
     assert not fit_log_ratio(odd, []).any()
 
 
+def test_toxic_documents_are_not_drawn_and_the_share_is_that_of_the_labels(spark):
+    # a toxic word in every fourth text, among 60 others of its own; half of them labelled
+    rows = [(k, prose(k, 60) + (" Vilest! " if k % 4 == 0 else " ") + prose(k + 9000, 3)) for k in range(400)]
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(200)], "doc_id bigint, quality int, toxic int")
+    drawn = {row.doc_id for row in importance_sample(docs_of(spark, rows), labels).collect() if row.selected}
+    assert drawn == {k for k in range(400) if k % 4}
+
+
 @pytest.mark.parametrize("k", [0, 1, 7, 50, 99, 100, 120])
 def test_top_k_is_exact_with_ties(spark, k):
     rows = [(i, 0.0, float(i // 7), i) for i in range(100)]
