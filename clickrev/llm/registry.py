@@ -10,6 +10,7 @@ from clickrev.llm.importance import op6_importance_resampling
 from clickrev.llm.jaccard_join import op2_chosen_path_join
 from clickrev.llm.language import op3_segmented_language
 from clickrev.llm.packing import op7_retrieval_packing
+from clickrev.llm.periodic import op11_lyndon_runs
 from clickrev.llm.pii import op8_anchor_pii
 from clickrev.llm.preference import PREFERENCE_SQL, op4_preference_format
 from clickrev.llm.site_tree import op10_site_style_tree
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_anchor_pii,
         op9_token_frames,
         op10_site_style_tree,
+        op11_lyndon_runs,
     )
     return {query.__name__: query for query in operators} | {"pipeline": corpus_pipeline.run}
 
