@@ -15,6 +15,7 @@ from clickrev.llm.pii import op8_anchor_pii
 from clickrev.llm.preference import PREFERENCE_SQL, op4_preference_format
 from clickrev.llm.site_tree import op10_site_style_tree
 from clickrev.llm.token_frames import op9_token_frames
+from clickrev.llm.toxicity import op12_levenshtein_toxicity
 from clickrev.llm.variants import op13_partenum_variants
 
 
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_token_frames,
         op10_site_style_tree,
         op11_lyndon_runs,
+        op12_levenshtein_toxicity,
         op13_partenum_variants,
     )
     return {query.__name__: query for query in operators} | {"pipeline": corpus_pipeline.run}
