@@ -22,10 +22,14 @@ from clickrev.fixed_values import (
 )
 from clickrev.functions import query_param, url_host
 from clickrev.operators import (
+    asof_attribution,
+    asof_revenue_by_keyword,
     attributed_purchases,
     blank_to_null,
     clean_hits,
     first_hits,
+    gap_session_report,
+    gap_sessions,
     product_entries,
     product_hits,
     product_level,
@@ -60,6 +64,8 @@ except ImportError:  # the subpackage and the pipeline may be taken out
 
 _FLAGSHIP_DIR = "/root/testdata/sf0.001"
 _RUN_DATE = date(2024, 2, 1)
+# The times of the events are whole hours.
+_GAP_HOURS = 12
 
 
 # --- Inputs ------------------------------------------------------------------
@@ -228,6 +234,16 @@ def _revenue_by_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue.withColumn("revenue", F.round("revenue", 2))
 
 
+def _asof_revenue_by_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    revenue = asof_revenue_by_keyword(_all_hits(spark, sf_dir))
+    return revenue.withColumn("revenue", F.round("revenue", 2))
+
+
+def _gap_session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = gap_session_report(_all_hits(spark, sf_dir), _GAP_HOURS)
+    return report.withColumn("revenue", F.round("revenue", 2))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The keyword report over the smallest scale factor."""
     return _search_keyword_performance(spark, _FLAGSHIP_DIR)
@@ -278,6 +294,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "revenue_by_keyword": _revenue_by_keyword,
         "search_keyword_performance": _search_keyword_performance,
+        # time lines
+        "asof_attribution": lambda spark, sf: asof_attribution(_all_hits(spark, sf)),
+        "asof_revenue_by_keyword": _asof_revenue_by_keyword,
+        "gap_sessions": lambda spark, sf: gap_sessions(_all_hits(spark, sf), _GAP_HOURS).select(
+            "ip", "hit_time_gmt", "page_url", "session_number"
+        ),
+        "gap_session_report": _gap_session_report,
         # jobs
         "stage_row_counts": _stage_row_counts,
         "conform_job": _conform_job,
@@ -397,6 +420,32 @@ attributed AS (
         coalesce(product_total_revenue, 0.0) AS product_total_revenue
     FROM sessions s LEFT JOIN purchases p ON s.ip = p.ip
 ),
+searches AS (
+    SELECT ip, hit_time_gmt, search_engine_domain, search_keyword FROM origins
+    WHERE search_keyword <> '' AND ip IS NOT NULL AND hit_time_gmt IS NOT NULL
+    QUALIFY row_number() OVER (
+        PARTITION BY ip, hit_time_gmt ORDER BY search_engine_domain, search_keyword) = 1
+),
+bought AS (
+    SELECT ip, hit_time_gmt, product_name, product_total_revenue FROM product_level
+    WHERE list_contains(list_transform(string_split(event_list, ','), lambda x: trim(x)), '1')
+        AND product_total_revenue > 0
+),
+last_search AS (
+    SELECT b.*, s.search_engine_domain, s.search_keyword,
+        CAST(s.hit_time_gmt AS BIGINT) AS search_time
+    FROM bought b ASOF LEFT JOIN searches s
+        ON b.ip = s.ip AND b.hit_time_gmt >= s.hit_time_gmt
+),
+numbered_hits AS (
+    SELECT *, CAST(sum(opens) OVER (
+            PARTITION BY ip ORDER BY hit_time_gmt RANGE UNBOUNDED PRECEDING) AS BIGINT)
+        AS session_number
+    FROM (
+        SELECT *, CASE WHEN hit_time_gmt - lag(hit_time_gmt) OVER (
+                PARTITION BY ip ORDER BY hit_time_gmt) <= 12 THEN 0 ELSE 1 END AS opens
+        FROM origins)
+),
 revenue AS (
     SELECT search_engine_domain, search_keyword, round(sum(product_total_revenue), 2) AS revenue
     FROM attributed GROUP BY ALL
@@ -450,6 +499,38 @@ def oracle_sql() -> dict[str, str]:
         "attributed_purchases": "SELECT * FROM attributed",
         "revenue_by_keyword": "SELECT * FROM revenue",
         "search_keyword_performance": _REPORT_SQL,
+        "asof_attribution": "SELECT * FROM last_search",
+        "asof_revenue_by_keyword": """
+            SELECT search_engine_domain, search_keyword,
+                round(sum(product_total_revenue), 2) AS revenue, count(*) AS n_products
+            FROM last_search GROUP BY ALL
+        """,
+        "gap_sessions": "SELECT ip, hit_time_gmt, page_url, session_number FROM numbered_hits",
+        "gap_session_report": """
+            SELECT ip, session_number, session_start, session_end, n_hits,
+                entry.search_engine_domain AS search_engine_domain,
+                entry.search_keyword AS search_keyword, coalesce(revenue, 0.0) AS revenue
+            FROM (
+                SELECT ip, session_number, CAST(min(hit_time_gmt) AS BIGINT) AS session_start,
+                    CAST(max(hit_time_gmt) AS BIGINT) AS session_end, count(*) AS n_hits
+                FROM numbered_hits GROUP BY ALL)
+            LEFT JOIN (
+                SELECT h.ip, h.session_number,
+                    min({'search_engine_domain': search_engine_domain,
+                         'search_keyword': search_keyword}) AS entry
+                FROM numbered_hits h JOIN (
+                    SELECT ip, session_number, min(hit_time_gmt) AS first_time
+                    FROM numbered_hits GROUP BY ALL) f
+                    ON h.ip = f.ip AND h.session_number = f.session_number
+                        AND h.hit_time_gmt = f.first_time
+                WHERE search_keyword <> '' GROUP BY ALL) USING (ip, session_number)
+            LEFT JOIN (
+                SELECT n.ip, n.session_number, round(sum(b.product_total_revenue), 2) AS revenue
+                FROM bought b JOIN (
+                    SELECT DISTINCT ip, hit_time_gmt, session_number FROM numbered_hits) n
+                    ON b.ip = n.ip AND b.hit_time_gmt = n.hit_time_gmt
+                GROUP BY ALL) USING (ip, session_number)
+        """,
         "stage_row_counts": """
             SELECT 'raw_hits' AS stage, count(*) AS n_rows FROM hits
             UNION ALL SELECT 'all_hits', count(*) FROM all_hits
