@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickrev.fixed_values import PURCHASE_EVENT, REPORT_HEADINGS
 from clickrev.functions.events import has_event
-from clickrev.operators.skew import ROWS_PER_SLICE, join_one_to_many
+from clickrev.operators.names import own_names
 
 
 def purchase_hits(hits: DataFrame) -> DataFrame:
@@ -20,16 +20,24 @@ def purchase_revenue(products: DataFrame) -> DataFrame:
     )
 
 
-def attributed_purchases(
-    sessions: DataFrame, purchases: DataFrame, *, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def attributed_purchases(sessions: DataFrame, purchases: DataFrame) -> DataFrame:
     """Every search session with each of its purchases, or once with revenue 0.0.
 
-    A left join on ``ip``; sessions without an ``ip`` match nothing.
+    The left join on ``ip``; sessions without an ``ip`` match nothing. It is an inner join,
+    of which adaptive execution can split a busy visitor on either side (of a left join it
+    cannot split the purchases), and the sessions without a partner, which meet one row per
+    visitor that bought.
     """
-    return join_one_to_many(
-        sessions, purchases, ["ip"], "left", rows_per_slice=rows_per_slice
-    ).withColumn("product_total_revenue", F.coalesce("product_total_revenue", F.lit(0.0)))
+    _ = own_names(sessions, purchases)
+    more = [name for name in purchases.columns if name != "ip"]
+    buyers = purchases.groupBy(F.col("ip").alias(_("ip"))).agg(F.count(F.lit(1)))
+    idle = sessions.join(buyers, F.col("ip") == F.col(_("ip")), "left_anti")
+    return (
+        sessions.join(purchases, "ip")
+        .select(*sessions.columns, *more)
+        .unionByName(idle, allowMissingColumns=True)
+        .withColumn("product_total_revenue", F.coalesce("product_total_revenue", F.lit(0.0)))
+    )
 
 
 def revenue_by_keyword(sessions: DataFrame, purchases: DataFrame) -> DataFrame:

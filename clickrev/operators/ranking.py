@@ -1,6 +1,8 @@
 """Rank of hits within a visitor, and the entry hits."""
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clickrev.operators.names import own_names
+
 # Width of a time span as a power of two: an INT time has 2^16 spans of 2^16
 # seconds, so no window over a visitor ever holds more than 65,536 rows.
 _SPAN_BITS = 16
@@ -15,7 +17,7 @@ def ordered_time() -> Column:
 def rank_hits(hits: DataFrame) -> DataFrame:
     """Add ``hit_rank``, the rank of a hit among those of its ``ip`` by ascending time.
 
-    Equal to ``rank() over (partition by ip order by hit_time_gmt)``: ties share a rank and
+    An earlier ``hit_rank`` is replaced. Equal to ``rank() over (partition by ip order by hit_time_gmt)``: ties share a rank and
     hits without a time come first. The rank is a BIGINT: one visitor may have more hits
     than an INT can count.
 
@@ -24,54 +26,51 @@ def rank_hits(hits: DataFrame) -> DataFrame:
     time, then over the spans), and the sums joined back. So no task ever needs all hits of
     a visitor; a skewed second in the last join is split by adaptive execution.
     """
-    visitor, time = "ip", "hit_time_gmt"
+    _ = own_names(hits)
     seconds = (
-        hits.groupBy(visitor, time)
-        .agg(F.count(F.lit(1)).alias("_hits"))
-        .withColumn("_span", F.shiftright(time, _SPAN_BITS))
+        hits.groupBy(F.col("ip").alias("ip"), F.col("hit_time_gmt").alias("time"))
+        .agg(F.count(F.lit(1)).alias("hits"))
+        .withColumn("span", F.shiftright("time", _SPAN_BITS))
     )
     within_span = (
-        Window.partitionBy(visitor, "_span")
-        .orderBy(F.col(time).asc())
+        Window.partitionBy("ip", "span")
+        .orderBy(F.col("time").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     over_spans = (
-        Window.partitionBy("_visitor")
-        .orderBy(F.col("_visitor_span").asc())
+        Window.partitionBy("span_ip")
+        .orderBy(F.col("span_of").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     spans = (
-        seconds.groupBy(F.col(visitor).alias("_visitor"), F.col("_span").alias("_visitor_span"))
-        .agg(F.sum("_hits").alias("_span_hits"))
-        .withColumn("_earlier_spans", F.coalesce(F.sum("_span_hits").over(over_spans), F.lit(0)))
+        seconds.groupBy(F.col("ip").alias("span_ip"), F.col("span").alias("span_of"))
+        .agg(F.sum("hits").alias("span_hits"))
+        .withColumn("earlier_spans", F.coalesce(F.sum("span_hits").over(over_spans), F.lit(0)))
     )
     ranks = (
-        seconds.withColumn("_earlier", F.coalesce(F.sum("_hits").over(within_span), F.lit(0)))
+        seconds.withColumn("earlier", F.coalesce(F.sum("hits").over(within_span), F.lit(0)))
         .join(
             spans,
-            F.col(visitor).eqNullSafe(F.col("_visitor"))
-            & F.col("_span").eqNullSafe(F.col("_visitor_span")),
+            F.col("ip").eqNullSafe(F.col("span_ip")) & F.col("span").eqNullSafe(F.col("span_of")),
         )
         .select(
-            F.col(visitor).alias("_ip"),
-            F.col(time).alias("_time"),
-            (F.col("_earlier_spans") + F.col("_earlier") + 1).alias("hit_rank"),
+            F.col("ip").alias(_("ip")),
+            F.col("time").alias(_("time")),
+            (F.col("earlier_spans") + F.col("earlier") + 1).alias("hit_rank"),
         )
     )
-    same = F.col(visitor).eqNullSafe(F.col("_ip")) & F.col(time).eqNullSafe(F.col("_time"))
-    return hits.join(ranks, same).select(*hits.columns, "hit_rank")
-
-
-def entry_times(hits: DataFrame) -> DataFrame:
-    """``_ip, _entry``: the earliest time of every visitor, as a hash aggregate of two columns."""
-    return hits.groupBy(F.col("ip").alias("_ip")).agg(F.min(ordered_time()).alias("_entry"))
+    same = hits["ip"].eqNullSafe(F.col(_("ip"))) & hits["hit_time_gmt"].eqNullSafe(F.col(_("time")))
+    columns = [hits[name] for name in hits.columns if name != "hit_rank"]
+    return hits.join(ranks, same).select(*columns, ranks["hit_rank"])
 
 
 def first_hits(hits: DataFrame) -> DataFrame:
     """The entry hits of every visitor: all hits at its earliest time.
 
-    The earliest times, one row per visitor, are joined to the hits. A busy visitor is a
-    skewed key of that join, which adaptive execution splits.
+    The earliest times, one row per visitor from a hash aggregate of two columns, are joined
+    to the hits. A busy visitor is a skewed key of that join, which adaptive execution splits.
     """
-    same = F.col("ip").eqNullSafe(F.col("_ip")) & (ordered_time() == F.col("_entry"))
-    return hits.join(entry_times(hits), same).select(*hits.columns)
+    _ = own_names(hits)
+    entries = hits.groupBy(F.col("ip").alias(_("ip"))).agg(F.min(ordered_time()).alias(_("entry")))
+    same = F.col("ip").eqNullSafe(F.col(_("ip"))) & (ordered_time() == F.col(_("entry")))
+    return hits.join(entries, same).select(*hits.columns)

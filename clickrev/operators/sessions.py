@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickrev.fixed_values import SEARCH_ENGINES
 from clickrev.functions.referrer import Engines, search_engine, search_keyword
 from clickrev.functions.url import host_of, without_line_breaks
+from clickrev.operators.names import own_names
 
 
 def with_search_origin(
@@ -15,15 +16,16 @@ def with_search_origin(
     runs once per row, not once per known domain. The keyword is only looked for
     where an engine was found.
     """
+    _ = own_names(df)
     return (
-        df.withColumn("_url", without_line_breaks(F.col(url)))
-        .withColumn("_host", host_of(F.col("_url")))
-        .withColumn("search_engine_domain", search_engine(F.col("_host"), engines))
+        df.withColumn(_("url"), without_line_breaks(F.col(url)))
+        .withColumn(_("host"), host_of(F.col(_("url"))))
+        .withColumn("search_engine_domain", search_engine(F.col(_("host")), engines))
         .withColumn(
             "search_keyword",
-            search_keyword(F.col("_url"), F.col("search_engine_domain"), engines),
+            search_keyword(F.col(_("url")), F.col("search_engine_domain"), engines),
         )
-        .drop("_url", "_host")
+        .drop(_("url"), _("host"))
     )
 
 

@@ -1,6 +1,8 @@
 """The few file-system calls Spark's readers and writers do not cover, through Hadoop."""
+import atexit
 from uuid import uuid4
 
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import SparkSession
 
 
@@ -30,6 +32,22 @@ def delete(spark: SparkSession, path: str) -> None:
         raise OSError(f"cannot delete {path}")
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder when the driver ends, whether the session still runs or not.
+
+    The file system is asked for it now: it outlives the session, as its JVM does.
+    """
+    fs, hadoop_path = _path(spark, path)
+    atexit.register(_delete_late, fs, hadoop_path)
+
+
+def _delete_late(fs, hadoop_path) -> None:
+    try:
+        fs.delete(hadoop_path, True)
+    except (Py4JError, Py4JNetworkError, ConnectionError):
+        pass  # the JVM is gone already
+
+
 def replace(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder to ``target``, replacing what was there.
 
@@ -53,10 +71,23 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
         fs.delete(aside, True)
 
 
-def single_part(spark: SparkSession, folder: str) -> str:
-    """The only part file of ``folder``."""
+def joined_parts(spark: SparkSession, folder: str, target: str, head: str) -> None:
+    """Write ``head`` and then the part files of ``folder``, in the order of their names.
+
+    Bytes are copied through a buffer of fixed size; no part is held.
+    """
     fs, pattern = _path(spark, join_path(folder, "part-*"))
-    parts = fs.globStatus(pattern)
-    if len(parts) != 1:
-        raise OSError(f"expected one part file in {folder}, found {len(parts)}")
-    return parts[0].getPath().toString()
+    target_fs, target_path = _path(spark, target)
+    copy = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes
+    parts = sorted((status.getPath().toString(), status.getPath()) for status in fs.globStatus(pattern) or [])
+    out = target_fs.create(target_path, True)
+    try:
+        out.write(head.encode("utf-8"))
+        for _, part in parts:
+            source = fs.open(part)
+            try:
+                copy(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()

@@ -12,7 +12,7 @@ from clickrev.fixed_values import (
     REPORT_HEADINGS,
     REPORT_SEPARATOR,
 )
-from clickrev.sources.files import delete, join_path, replace, single_part
+from clickrev.sources.files import delete, join_path, joined_parts, replace
 
 log = logging.getLogger(__name__)
 
@@ -55,10 +55,10 @@ def publish_report(
     """Write the report as tab-delimited text, best keyword first.
 
     ``report`` may come in any order. It is computed once, in parallel, into a staging
-    table beside the target. By default the text is one file called ``file_name`` with a
-    header, which one task sorts and writes, however many rows there are. With
-    ``single_file=False`` it is a folder of that name whose part files, read in the order
-    of their names, hold the rows in order and no header. Amounts are printed with two
+    table beside the target, and sorted in parallel into ordered part files. By default these
+    are joined, as a stream of bytes, into one file called ``file_name`` with a header. With
+    ``single_file=False`` the report is a folder of that name whose part files, read in the
+    order of their names, hold the rows in order and no header. Amounts are printed with two
     decimals, never in scientific notation.
 
     Replaces an earlier report of the same name, and raises if it cannot; the earlier
@@ -71,16 +71,15 @@ def publish_report(
 
     rows = write_parquet(report, join_path(staging, "rows"))
     staged = spark.read.schema(report.schema).parquet(join_path(staging, "rows"))
-    ordered = (
-        staged.coalesce(1).sortWithinPartitions(*_best_first())
-        if single_file
-        else staged.orderBy(*_best_first())
-    )
     text = join_path(staging, "text")
-    ordered.withColumn(revenue, F.col(revenue).cast("decimal(38,2)")).write.csv(
-        text, header=single_file, sep=REPORT_SEPARATOR
+    staged.orderBy(*_best_first()).withColumn(revenue, F.col(revenue).cast("decimal(38,2)")).write.csv(
+        text, header=False, sep=REPORT_SEPARATOR
     )
-    replace(spark, single_part(spark, text) if single_file else text, target)
+    if single_file:
+        whole = join_path(staging, "whole")
+        joined_parts(spark, text, whole, REPORT_SEPARATOR.join(report.columns) + "\n")
+        text = whole
+    replace(spark, text, target)
     delete(spark, staging)
     log.info("published %d report rows as %s", rows, target)
     return target

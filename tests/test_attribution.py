@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from clickrev.operators import (
     attributed_purchases,
     clean_hits,
@@ -120,8 +118,7 @@ def test_equal_revenue_is_ordered_by_engine_and_keyword(spark):
     ]
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 20, 10**6])
-def test_a_visitor_with_a_third_of_all_purchases(spark, rows_per_slice):
+def test_a_visitor_with_a_third_of_all_purchases(spark):
     rng = random.Random(7)
     visitors = [*"abcdefgh", None]
     sessions = frame(spark, SESSIONS, *[(v, "google.com", f"k{v}") for v in ["hot", "idle", *visitors]])
@@ -134,7 +131,33 @@ def test_a_visitor_with_a_third_of_all_purchases(spark, rows_per_slice):
         ],
     ).repartition(6)
     plain = sessions.join(purchases, "ip", "left").fillna(0.0, ["product_total_revenue"])
-    joined = attributed_purchases(sessions, purchases, rows_per_slice=rows_per_slice)
+    joined = attributed_purchases(sessions, purchases)
     assert rows_of(joined) == rows_of(plain)
     summed = plain.groupBy("search_engine_domain", "search_keyword").sum("product_total_revenue")
     assert rows_of(revenue_by_keyword(sessions, purchases)) == rows_of(summed)
+
+
+def test_attribution_is_lazy_and_splits_a_busy_visitor(spark, tmp_path):
+    """Equal purchases of one visitor, which no hash of the row could spread."""
+    rows = [("bot", "P", 1.0)] * 40_000 + [(f"v{i}", "P", 1.0) for i in range(2000)]
+    frame(spark, PURCHASES, *rows).repartition(8).write.parquet(f"{tmp_path}/p")
+    purchases = spark.read.parquet(f"{tmp_path}/p")
+    sessions = frame(spark, SESSIONS, ("bot", "a.com", "x"), *[(f"v{i}", "a.com", "y") for i in range(3000)])
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = attributed_purchases(sessions, purchases)
+        assert "isFinalPlan=false" in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 43_000
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "skew=true" in plan

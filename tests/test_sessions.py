@@ -117,3 +117,18 @@ def test_ranks_of_the_whole_int_range(spark):
     df = frame(spark, "ip string, hit_time_gmt int", *[("a", time) for time in times])
     ranked = rank_hits(df).orderBy("hit_time_gmt")
     assert column(ranked, "hit_rank") == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_columns_with_the_names_of_internal_ones(spark):
+    names = ["_ip", "_time", "_entry", "_span", "_hits", "_url", "_host", "hit_rank", "_visitor", "span_ip", "time"]
+    table = hits(spark, {"hit_time_gmt": 1, "referrer": GOOGLE + "x"}, {"hit_time_gmt": 2})
+    for name in names:
+        table = table.withColumn(name, F.lit(name))
+    ranked = rank_hits(table)
+    assert sorted(ranked.columns) == sorted(table.columns)
+    assert sorted(column(ranked, "hit_rank")) == [1, 2] and set(column(ranked, "_ip")) == {"_ip"}
+    first = first_hits(table)
+    assert first.columns == table.columns and rows_of(first)[0][0] == 1
+    origin = with_search_origin(table)
+    assert origin.columns == [*table.columns, "search_engine_domain", "search_keyword"]
+    assert set(column(origin, "_url")) == {"_url"} and set(column(origin, "_host")) == {"_host"}

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -16,7 +18,7 @@ from clickrev.sources import (
     write_parquet,
 )
 from clickrev.sources.files import total_bytes
-from clickrev.sources.workspace import workspace
+from clickrev.sources.workspace import discard, scratch as scope, shared_folder, workspace
 from data import column, frame, hits, rows_of
 
 REPORT = ", ".join(f"`{name}` string" for name in list(REPORT_HEADINGS.values())[:2]) + ", Revenue double"
@@ -142,7 +144,7 @@ def test_publishing_again_replaces_file_or_folder(spark, scratch, first, second)
 def test_a_failed_publish_keeps_the_earlier_report_and_the_staged_rows(spark, scratch, monkeypatch):
     path = publish_report(frame(spark, REPORT, ("a.com", "k", 1.0)), scratch, "r.tab")
     before = read_text(path)
-    monkeypatch.setattr(writers, "single_part", lambda spark, folder: f"{folder}/none")
+    monkeypatch.setattr(writers, "joined_parts", lambda *_: None)
     with pytest.raises(Exception):  # the file system's own error or ours
         publish_report(frame(spark, REPORT, ("a.com", "k", 2.0)), scratch, "r.tab")
     assert read_text(path) == before
@@ -167,15 +169,47 @@ def session_stub(**settings):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *default: settings.get(name, *default)))
 
 
-def test_workspace_is_below_the_folder_the_cluster_names():
-    session = session_stub(**{"spark.checkpoint.dir": "hdfs://shared/"})
-    first, second = workspace(session, "x"), workspace(session, "x")
-    assert first.startswith("hdfs://shared/clickrev-x-") and first != second
-
-
-def test_workspace_without_the_setting_is_below_the_warehouse():
-    session = session_stub(**{"spark.sql.warehouse.dir": "hdfs://warehouse"})
-    assert workspace(session, "x").startswith("hdfs://warehouse/_clickrev/clickrev-x-")
+def test_shared_folder_is_the_one_the_cluster_names():
+    assert shared_folder(session_stub(**{"spark.checkpoint.dir": "hdfs://shared/"})) == "hdfs://shared/"
+
+
+def test_without_the_setting_only_a_local_master_gets_a_folder():
+    local = {"spark.sql.warehouse.dir": "file:/warehouse", "spark.master": "local[8]"}
+    assert shared_folder(session_stub(**local)) == "file:/warehouse/_clickrev"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_stub(**local | {"spark.master": master}))
+
+
+def test_scratch_deletes_what_was_opened_inside(spark):
+    outer = workspace(spark, "outer")
+    spark.range(3).write.parquet(f"{outer}/t")
+    with pytest.raises(KeyError), scope(spark):
+        inner = workspace(spark, "inner")
+        spark.range(3).write.parquet(f"{inner}/t")
+        with scope(spark):
+            innermost = workspace(spark, "inner")
+            spark.range(3).write.parquet(f"{innermost}/t")
+        assert total_bytes(spark, innermost) == 0 < total_bytes(spark, inner)
+        raise KeyError
+    assert total_bytes(spark, inner) == 0 < total_bytes(spark, outer)
+    discard(spark, outer)
+
+
+@pytest.mark.parametrize("stopped", ["", "spark.stop()"])
+def test_no_workspace_is_left_when_the_driver_ends(scratch, stopped):
+    code = f"""
+from clickrev.session import build_session
+from clickrev.sources.workspace import discard, scratch as scope, shared_folder, workspace
+spark = build_session("t", **{{"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": {scratch!r}}})
+spark.range(3).write.parquet(workspace(spark, "x") + "/t")
+import os
+assert any(name.startswith('clickrev-') for name in os.listdir({scratch!r}))
+{stopped}
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+    # Spark itself leaves an empty folder of its own there
+    assert not [name for name in os.listdir(scratch) if name.startswith("clickrev-")]
 
 
 def test_columns_are_read_back_by_name(spark, scratch):
