@@ -46,6 +46,8 @@ class LexiconAutomaton:
         letters = sorted(set("".join(self.entries)))
         self._code_points = np.array([ord(c) for c in letters], np.int64)
         self._build(letters)
+        # only the tables are needed to match, and sent to tasks
+        del self._children, self._allowed, self._term, self._stem, self._most
 
     def _closed(self, places: dict[int, int]) -> frozenset:
         """With the places that leaving out letters of the lexicon leads to."""

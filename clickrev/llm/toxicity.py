@@ -76,8 +76,11 @@ _PRIOR_TEXTS = 8.0
 
 
 def edits(term: str) -> int:
-    """Wrong letters that a term of the lexicon may have."""
-    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
+    """Wrong letters that a term of the lexicon may have.
+
+    A second one would multiply the automaton's states by the length of the terms.
+    """
+    return int(len(term) >= 5)
 
 
 def words_in(text: str) -> list[str]:
@@ -272,7 +275,8 @@ def _candidates_in_use(texts: DataFrame, terms: set[str], stems: set[str]) -> Da
 
 def learn_lexicon(texts: DataFrame) -> tuple[list[str], list[str]]:
     """Terms and stems. Their number is bounded by the sample, from which all words come."""
-    rows = _telling(_counted(texts)).select("term", "stem").collect()
+    counted = staged(texts.sparkSession, _counted(texts), "terms")
+    rows = _telling(counted).select("term", "stem").collect()
     terms = {row["term"] for row in rows if not row["stem"]}
     stems = {row["term"] for row in rows if row["stem"]}
     shared_by_words = (F.col("words") >= STEM_WORDS) & (F.col("most") <= LARGEST_WORD_SHARE * F.col("contexts"))
