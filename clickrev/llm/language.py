@@ -37,7 +37,9 @@ HELD_OUT_MODULUS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 _SMOOTHING = 0.5
 _UNKNOWN = 1e-9
-_FOLD = 30  # letters handled in one table; longer words are cut there, which bounds the table
+# Words up to this length share a table per length, whose smallest products still are above the
+# smallest double; each longer one is summed up by itself, in logarithms.
+_TABLE_LETTERS = 30
 _CACHED_WORDS = 600_000
 _TABLE_BITS = 22
 
@@ -92,6 +94,35 @@ class Pieces:
                 edges[start, end] = self.find(mixed(value))
         return edges
 
+    def paths(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and pieces (-1: a letter that is none) of one word, by end."""
+        codes = np.array([ord(letter) + 1 for letter in word], np.uint64)
+        starts, ends, pieces = [], [], []
+        value = np.zeros(len(word), np.uint64)
+        for width in range(1, min(len(word), self.longest) + 1):
+            value = value[: len(word) - width + 1] * MIX_A + codes[width - 1 :]
+            row, piece = self.find(mixed(value))
+            if width == 1:
+                unknown = np.setdiff1d(np.arange(len(word)), row)
+                row = np.concatenate([row, unknown])
+                piece = np.concatenate([piece, np.full(len(unknown), -1)])
+            starts.append(row)
+            ends.append(row + width)
+            pieces.append(piece)
+        start, end, piece = map(np.concatenate, (starts, ends, pieces))
+        order = np.argsort(end, kind="stable")
+        return start[order], end[order], piece[order]
+
+
+def log_sums(starts: np.ndarray, ends: np.ndarray, logs: np.ndarray, length: int) -> np.ndarray:
+    """Forward sums in logarithms, for edges in the order of their ends; a row per position."""
+    table = np.zeros((length + 1, logs.shape[1]))
+    cuts = np.searchsorted(ends, np.arange(1, length + 2))
+    for end in range(1, length + 1):
+        edges = slice(cuts[end - 1], cuts[end])
+        table[end] = np.logaddexp.reduce(table[starts[edges]] + logs[edges], axis=0)
+    return table
+
 
 _pieces: dict[str, Pieces] = {}
 
@@ -112,21 +143,16 @@ def _by_length(words: Iterable[str]) -> Iterator[list[str]]:
             yield group[start : start + 20_000]
 
 
-def _folded(word: str) -> list[str]:
-    return [word[k : k + _FOLD] for k in range(0, len(word), _FOLD)]
-
-
 def expected_counts(pieces: Pieces, words: Counter) -> np.ndarray:
     """Expected uses of each piece over weighted words, all pieces being equally likely."""
     share = 1.0 / len(pieces.pieces)
     totals = np.zeros(len(pieces.pieces))
-    folded: Counter = Counter()
-    for word, count in words.items():
-        for part in _folded(word):
-            folded[part] += count
-    for group in _by_length(folded):
+    for word, weight in words.items():
+        if len(word) > _TABLE_LETTERS:
+            _add_long_word(pieces, word, weight, totals)
+    for group in _by_length(word for word in words if len(word) <= _TABLE_LETTERS):
         length, n = len(group[0]), len(group)
-        weights = np.array([folded[word] for word in group], float)
+        weights = np.array([words[word] for word in group], float)
         edges = pieces.lattice(group)
         unknown = _unknown_letters(edges, length, n)
         forward, backward = np.zeros((length + 1, n)), np.zeros((length + 1, n))
@@ -148,6 +174,17 @@ def expected_counts(pieces: Pieces, words: Counter) -> np.ndarray:
     return totals
 
 
+def _add_long_word(pieces: Pieces, word: str, weight: int, totals: np.ndarray) -> None:
+    start, end, piece = pieces.paths(word)
+    length = len(word)
+    logs = np.where(piece < 0, np.log(_UNKNOWN), -np.log(len(totals)))[:, None]
+    forward = log_sums(start, end, logs, length)[:, 0]
+    order = np.argsort(length - start, kind="stable")
+    backward = log_sums((length - end)[order], (length - start)[order], logs[order], length)[::-1, 0]
+    use = weight * np.exp(forward[start] + logs[:, 0] + backward[end] - forward[length])
+    totals += np.bincount(piece[piece >= 0], use[piece >= 0], len(totals))
+
+
 def _unknown_letters(edges: dict, length: int, n: int) -> list[np.ndarray]:
     """By position, the words whose letter there is no piece."""
     unknown = []
@@ -239,21 +276,22 @@ class WordScores:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        parts = {part for word in words for part in _folded(word)}
-        logs: dict[str, np.ndarray] = {}
-        for group in _by_length(sorted(parts)):
-            logs.update(zip(group, self._score(group), strict=True))
-        rows = [sum(logs[part] for part in _folded(word)) for word in words]
-        for word in words:
-            self._place[word] = len(self._place)
-        if rows:
-            self._logs = np.concatenate([self._logs, np.array(rows)])
+        rows = [self._logs]
+        long = sorted(word for word in words if len(word) > _TABLE_LETTERS)
+        groups = [*_by_length(sorted(words.difference(long))), *([word] for word in long)]
+        for group in groups:
+            rows.append(self._score(group) if len(group[0]) <= _TABLE_LETTERS else self._score_long(group[0]))
+            for word in group:
+                self._place[word] = len(self._place)
+        self._logs = np.concatenate(rows)
+
+    def _score_long(self, word: str) -> np.ndarray:
+        start, end, piece = self._pieces.paths(word)
+        logs = np.where(piece[:, None] < 0, np.log(_UNKNOWN), np.log(self._table[piece]))
+        return log_sums(start, end, logs, len(word))[-1:]
 
     def _score(self, words: list[str]) -> np.ndarray:
-        """The forward algorithm over words of one length.
-
-        ``_FOLD`` letters of the smallest probability still are above the smallest double.
-        """
+        """The forward algorithm over words of one length, ``_TABLE_LETTERS`` at most."""
         edges = self._pieces.lattice(words)
         length, n = len(words[0]), len(words)
         unknown = _unknown_letters(edges, length, n)

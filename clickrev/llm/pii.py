@@ -42,10 +42,11 @@ _KEY_ID = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])")
 _IDENTIFIER = re.compile(
     r"[\s:#=.]*(?:[Nn]o|[Nn]r|[Nn]umber)?[\s:#=.]*"
     r"([A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)(?![0-9A-Za-z])"
-    r"|[0-9][0-9 -]{4,30}[0-9])"
+    r"|[0-9][0-9 -]{4,}[0-9])"
 )
 _URL = re.compile(r"://[^\s/@?#\"'<>]+@[^\s\"'<>]+")
-_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*$")
+_SCHEME = re.compile(r"[A-Za-z0-9+.-]")
+_LETTER = re.compile(r"[A-Za-z]")
 
 _SECRET_CUES = ("password", "passwd", "token", "api_key", "apikey", "secret")
 _ACCOUNT_CUES = ("account", "iban", "ssn", "passport")
@@ -95,8 +96,7 @@ def spans_of(text: str) -> list[Span]:
                     found["phone"].append(match.span())
         elif anchor == "://":
             if match := _URL.match(text, start):
-                scheme = _SCHEME.search(text, max(0, start - 20), start)
-                _add(found, used, "url", scheme.start() if scheme else start, match.end())
+                _add(found, used, "url", _scheme_start(text, start, used["url"]), match.end())
         elif anchor == "AKIA":
             if match := _KEY_ID.match(text, start):
                 _add(found, used, "secret", *match.span())
@@ -114,6 +114,15 @@ def _add(found: dict, used: dict, kind: str, start: int, end: int) -> None:
         used[kind] = end
 
 
+def _scheme_start(text: str, end: int, left: int) -> int:
+    """Where the scheme before ``end`` begins: the first letter of the signs a scheme may hold."""
+    start = end
+    while start > left and _SCHEME.match(text, start - 1):
+        start -= 1
+    letter = _LETTER.search(text, start, end)
+    return letter.start() if letter else end
+
+
 def _from_at_sign(text: str, at: int, found: dict, used: dict) -> None:
     domain = _DOMAIN.match(text, at + 1)
     if not domain:
