@@ -1,12 +1,12 @@
 """Lexical retrieval packing: windows of tokens filled with related documents.
 
 Documents are dealt into shards of bounded size by content: each has a few min-hash keys,
-telling token ids drawn with a chance in proportion to their inverse document frequency, so
-documents that share rare ids share keys. A range shuffle puts the documents in the order of
-their keys, wherever they lie in the input; rows alike in all keys go by their place in it,
-so a hot key or many copies are spread over several ranges. Each task cuts its range into
+telling token ids drawn with a chance in proportion to their number in the tokenizer, which
+counts from common to rare pieces, so documents that share rare ids share keys. A range shuffle puts the documents in the order of
+their keys, wherever they lie in the input; rows alike in all keys go by id, then text, then
+place, so a hot key or many copies are spread over several ranges. Each task cuts its range into
 shards and builds a BM25 inverted index over the token ids of a shard. Document frequencies
-and the mean length are those of the whole corpus, counted once. A document's neighbours are
+and the mean length are those of the whole corpus, counted while texts are encoded. A document's neighbours are
 those of its shard: copies share all keys and so nearly always a shard, while looser
 relatives may be dealt to another. The first unused document is a seed: it fills windows, and
 the room left in its last one goes to its nearest unused neighbours by BM25, best first,
@@ -14,8 +14,8 @@ ties by their order. The neighbour that does not fit is cut, its rest opens the
 and it is the seed there. Without a neighbour of positive score the next unused document
 goes on. So windows are full but for the last of each shard.
 
-The token ids are stored once in the shared folder, so texts are encoded once. A document is
-one shard of its own if it is longer than a shard. A task that runs again, after its
+The token ids are stored once in the shared folder, so texts are encoded once. A document
+longer than a shard ends the shard it is added to. A task that runs again, after its
 executor was lost, packs the same rows the same way.
 
 Null or empty text has the end id only. Repeated rows are packed one by one, and a null
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,8 +37,8 @@ from clickrev.llm.tokens import END_ID, TOKENIZER_FILE, encoder_for
 
 WINDOW = 1024
 SHARD_TOKENS = 1 << 19
-#: Shards in one range of the shuffle, unless that makes fewer ranges than cores.
-RANGE_SHARDS = 16
+#: Shards in one range of the shuffle.
+RANGE_SHARDS = 4
 KEYS = 3
 _K1, _B = 1.2, 0.75
 
@@ -66,27 +67,29 @@ class Corpus:
         n, frequency = self.documents, self.frequency
         return np.maximum(0.0, np.log((n - frequency + 0.5) / (frequency + 0.5)))
 
-    def ranks(self) -> np.ndarray:
-        """Per key and token id a number; a document's key is its id of the smallest.
-
-        An exponential draw over the idf, the same for all documents. Ids that tell nothing,
-        or are in one document alone, have no finite rank.
-        """
-        draws = np.random.default_rng(0).exponential(size=(KEYS, len(self.frequency)))
-        idf = np.where(self.frequency > 1, self.idf(), 0.0)
-        return np.divide(draws, idf, out=np.full_like(draws, np.inf), where=idf > 0)
-
 
 def corpus_of(documents: list[np.ndarray]) -> Corpus:
     terms = np.concatenate([np.unique(ids) for ids in documents])
     return Corpus(len(documents), sum(map(len, documents)), np.bincount(terms))
 
 
-def content_keys(ids: np.ndarray, ranks: np.ndarray) -> list[int]:
-    """The min-hash keys of a document, -1 without a telling id."""
-    found = ranks[:, ids]
+def key_ranks(size: int) -> np.ndarray:
+    """Per key and token id a number; a document's key is its id of the smallest.
+
+    An exponential draw over a weight, the same for all documents. The weight is the id
+    itself: the tokenizer numbers its pieces from common to rare ones, so it says how telling
+    an id is before anything is counted. The end id has no finite rank.
+    """
+    draws = np.random.default_rng(0).exponential(size=(KEYS, size))
+    weights = np.broadcast_to(np.arange(size, dtype=float), draws.shape)
+    return np.divide(draws, weights, out=np.full_like(draws, np.inf), where=weights > 0)
+
+
+def content_keys(terms: np.ndarray, ranks: np.ndarray) -> list[int]:
+    """The min-hash keys of a document's token ids, -1 without a telling one."""
+    found = ranks[:, terms]
     best = found.argmin(axis=1)
-    return [int(ids[b]) if np.isfinite(found[k, b]) else -1 for k, b in enumerate(best)]
+    return [int(terms[b]) if np.isfinite(found[k, b]) else -1 for k, b in enumerate(best)]
 
 
 class Bm25:
@@ -156,23 +159,55 @@ def _best_first(scores: np.ndarray, used: np.ndarray) -> Iterator[int]:
     return iter(order[(scores[order] > 0) & ~used[order]].tolist())
 
 
+_KEY_NAMES = [f"key{k}" for k in range(KEYS)]
+_STORED = [
+    ("doc_id", pa.int64(), "BIGINT"),
+    ("width", pa.int32(), "INT"),
+    ("ids", pa.binary(), "BINARY"),
+    ("hash", pa.int64(), "BIGINT"),
+    *[(name, pa.int64(), "BIGINT") for name in _KEY_NAMES],
+]
+
+
+def _stored_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(c, kind) for c, (_, kind, _) in zip(zip(*rows, strict=True), _STORED, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, [name for name, *_ in _STORED])
+
+
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, width, ids``: token ids as numbers of ``width`` bytes, the end id included."""
+    """Documents as token ids with their keys, and what each task counted, in one pass.
+
+    A document: ``doc_id``, ``ids`` as numbers of ``width`` bytes with the end id, their
+    ``hash``, ``key0`` and so on. A row of ``width`` 0 holds a task's counts: in ``ids`` pairs
+    of a token id and the number of documents with it; -1 stands for all documents, -2 for
+    all tokens.
+    """
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer)
+        ranks = key_ranks(encoder.size)
         end = np.array([END_ID], "<u4").tobytes()
+        frequency, n, total = np.zeros(encoder.size, np.int64), 0, 0
         for batch in slices(batches):
-            ids = [np.frombuffer(raw + end, "<u4") for raw in encoder.encode(texts_of(batch))]
-            widths = [2 if one.max() < 1 << 16 else 4 for one in ids]
-            raw = [one.astype(f"<u{width}").tobytes() for one, width in zip(ids, widths, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(widths, pa.int32()), pa.array(raw, pa.binary())],
-                ["doc_id", "width", "ids"],
-            )
+            rows = []
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
+                ids = np.frombuffer(raw + end, "<u4")
+                terms = np.unique(ids)
+                frequency[terms] += 1
+                n, total = n + 1, total + len(ids)
+                width = 2 if terms[-1] < 1 << 16 else 4
+                value = ids.astype(f"<u{width}").tobytes()
+                digest = xxhash.xxh3_64_intdigest(value) >> 1
+                rows.append((doc_id, width, value, digest, *content_keys(terms, ranks)))
+            if rows:
+                yield _stored_rows(rows)
+        terms = np.flatnonzero(frequency)
+        counts = np.stack([np.append(terms, [-1, -2]), np.append(frequency[terms], [n, total])], axis=1)
+        yield _stored_rows([(None, 0, counts.astype("<i8").tobytes(), 0, *[-1] * KEYS)])
 
     wanted = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    return map_arrow(wanted, ["doc_id", "text"], encode, "doc_id BIGINT, width INT, ids BINARY")
+    schema = ", ".join(f"{name} {kind}" for name, _, kind in _STORED)
+    return map_arrow(wanted, ["doc_id", "text"], encode, schema)
 
 
 def _ids_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -181,27 +216,16 @@ def _ids_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def count_corpus(tokens: DataFrame) -> Corpus:
-    """Frequencies over all of ``tokens`` (width, ids); tasks send one row a token id."""
+    """Frequencies over all documents, from the counts that the tasks stored."""
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency, n, total = np.zeros(1, np.int64), 0, 0
-        for batch in slices(batches):
-            documents = list(_ids_of(batch))
-            if documents:
-                more = corpus_of(documents)
-                size = max(len(frequency), len(more.frequency))
-                frequency = np.pad(frequency, (0, size - len(frequency)))
-                frequency[: len(more.frequency)] += more.frequency
-                n, total = n + more.documents, total + more.tokens
-        terms = np.flatnonzero(frequency)
-        yield pa.RecordBatch.from_arrays(
-            # below 0: the numbers of documents and of tokens
-            [pa.array([-1, -2, *terms], pa.int64()), pa.array([n, total, *frequency[terms]], pa.int64())],
-            ["term", "n"],
-        )
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("ids").to_pylist():
+                term, n = np.frombuffer(raw, "<i8").reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
 
     rows = (
-        map_arrow(tokens, ["width", "ids"], count, "term BIGINT, n BIGINT")
+        map_arrow(tokens.filter("width = 0"), ["ids"], unpack, "term BIGINT, n BIGINT")
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
         .collect()  # at most one row per id of the vocabulary
@@ -216,24 +240,11 @@ def count_corpus(tokens: DataFrame) -> Corpus:
 
 def dealt(tokens: DataFrame, corpus: Corpus, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """``tokens`` (a stored table) in ranges of documents in the order of their keys."""
-    context = tokens.sparkSession.sparkContext
-    shared = context.broadcast(corpus.ranks())
-    names = [f"key{k}" for k in range(KEYS)]
-
-    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        for batch in slices(batches):
-            if batch.num_rows:
-                keys = zip(*(content_keys(ids, ranks) for ids in _ids_of(batch)), strict=True)
-                columns = [*batch.columns, *(pa.array(key, pa.int64()) for key in keys)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "width", "ids", *names])
-
-    schema = "doc_id BIGINT, width INT, ids BINARY, " + ", ".join(f"{name} BIGINT" for name in names)
-    shards = -(-corpus.tokens // shard_tokens)
-    ranges = max(1, -(-shards // RANGE_SHARDS), min(shards, context.defaultParallelism))
-    order = [*names, "_place"]
+    ranges = max(1, -(-corpus.tokens // (shard_tokens * RANGE_SHARDS)))
+    # rows alike in all but the place are interchangeable; it only spreads them
+    order = [*_KEY_NAMES, "doc_id", "hash", "_place"]
     return (
-        map_arrow(tokens, ["doc_id", "width", "ids"], keyed, schema)
+        tokens.filter("width > 0")
         .withColumn("_place", F.monotonically_increasing_id())
         .repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)

@@ -7,7 +7,6 @@ many in one call. Words of letters only are one piece each for the tokenizer, so
 to its model without being searched for pieces.
 """
 import os
-from collections.abc import Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -43,6 +42,8 @@ def _byte_signs() -> dict[int, str]:
 
 
 _BYTE_SIGNS = _byte_signs()
+# The bytes that another sign stands for, as characters; the line break's sign holds one.
+_REPLACED = frozenset(chr(byte) for byte in _BYTE_SIGNS)
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -74,84 +75,100 @@ class WordEncoder:
         self._known: dict[str, bytes] = {}
         self._signs_known: dict[str, bytes] = {}
 
+    @property
+    def size(self) -> int:
+        """Every token id is smaller."""
+        return max(self._tokenizer.get_vocab().values()) + 1
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > _CACHED_WORDS:
             self._known.clear()
-        known = self._known.get
-        out: list[bytes | list] = []
-        missing: dict[str, list[tuple[list, int]]] = {}  # word: where its ids belong
+        known = self._known
+        split: list[list[str] | None] = []
+        new: set[str] = set()
         for text in texts:
             words = _words(text)
-            if words is None:
-                out.append(self._plain(text))
-                continue
-            ids = list(map(known, words))
-            gaps = _places_of_none(ids)
-            # empty keys come from runs of white space, which are encoded in their context
-            if any(words[k] in ("", "\n") for k in gaps):
-                out.append(self._plain(text))
-                continue
-            for k in gaps:
-                missing.setdefault(words[k], []).append((ids, k))
-            out.append(ids)
-        learned = self._learn(missing)
-        for word, places in missing.items():
-            for ids, k in places:
-                ids[k] = learned[word]
+            if words is not None:
+                different = set(words)
+                # empty keys come from runs of white space, which are encoded in their context
+                if "" in different or "\n" in different:
+                    words = None
+                else:
+                    new |= different.difference(known)
+            split.append(words)
+        self._learn(new)
         skipped = len(self._line_break)
-        return [x if isinstance(x, bytes) else b"".join(x)[skipped:] for x in out]
+        ids = known.__getitem__
+        out = [
+            self._plain(text) if words is None else b"".join(map(ids, words))[skipped:]
+            for text, words in zip(texts, split, strict=True)
+        ]
+        for word in [word for word in new if len(word) > _CACHED_WORD_CHARS]:
+            del known[word]
+        return out
 
     def _plain(self, text: str) -> bytes:
         (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, "<u4").tobytes()
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words, put into the cache if they are short.
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of words into the cache.
 
         Signs after the last letter are a token of their own, so a word is learned without
         them and serves with any.
         """
-        stems = {word: _stem(word) for word in words}
-        learned: dict[str, bytes] = {}
-        letters, new = [], []
-        for stem in set(stems.values()):
-            ids = self._known.get(stem)
-            if ids is not None:
-                learned[stem] = ids
-            elif _only_letters(stem):
-                letters.append(stem)
-            else:
-                new.append(stem)
-        if letters:
-            self._learn_letters(letters, learned)
+        known = self._known
+        letters, others, with_signs = [], [], []
+        stems: dict[str, None] = {}
+        for word in words:
+            if _only_letters(word):
+                letters.append(word)
+                continue
+            stem = _stem(word)
+            if stem == word:
+                others.append(word)
+                continue
+            with_signs.append((word, stem))
+            if stem not in known and stem not in words:
+                stems[stem] = None
+        for stem in stems:
+            (letters if _only_letters(stem) else others).append(stem)
+        for words_of_kind, before in (
+            ([word for word in letters if word[0] != "\n"], b""),
+            ([word for word in letters if word[0] == "\n"], self._line_break),
+        ):
+            if words_of_kind:
+                self._learn_letters(words_of_kind, before)
         for after, prefix, before in (("\n", "", self._line_break), ("", " ", b"")):
             chunk: list[str] = []
             size = 0
-            for stem in new:
-                if stem.startswith("\n") != bool(after):
+            for word in others:
+                if word.startswith("\n") != bool(after):
                     continue
-                chunk.append(stem)
-                size += len(stem)
+                chunk.append(word)
+                size += len(word)
                 if size > _JOINED_CHARS:
-                    self._learn_chunk(chunk, prefix, before, learned)
+                    self._learn_chunk(chunk, prefix, before, known)
                     chunk, size = [], 0
             if chunk:
-                self._learn_chunk(chunk, prefix, before, learned)
-        for word, stem in stems.items():
-            if word != stem:
-                learned[word] = learned[stem] + self._signs(word[len(stem) :])
-            if len(word) <= _CACHED_WORD_CHARS:
-                self._known[word] = learned[word]
-                self._known[stem] = learned[stem]
-        return learned
-
-    def _learn_letters(self, words: list[str], learned: dict[str, bytes]) -> None:
+                self._learn_chunk(chunk, prefix, before, known)
+        for word, stem in with_signs:
+            known[word] = known[stem] + self._signs(word[len(stem) :])
+        for stem in stems:
+            if len(stem) > _CACHED_WORD_CHARS:
+                del known[stem]
+
+    def _learn_letters(self, words: list[str], before: bytes) -> None:
         """Encode words of letters by the model alone, each with its blank as one piece."""
-        text = "\n".join([word[1:] if word[0] == "\n" else " " + word for word in words])
-        signs = text.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS)
+        text = "".join(words)[1:] if before else " " + "\n ".join(words)
+        signs = text.encode("utf-8").decode("latin-1")
+        for byte in _REPLACED.intersection(signs):
+            signs = signs.replace(byte, _BYTE_SIGNS[ord(byte)])
         (encoded,) = self._model.encode_batch_fast([signs], add_special_tokens=False)
-        for word, ids in zip(words, self._lines(encoded.ids), strict=True):
-            learned[word] = self._line_break + ids if word[0] == "\n" else ids
+        lines = self._lines(encoded.ids)
+        if before:
+            lines = [before + ids for ids in lines]
+        self._known.update(zip(words, lines, strict=True))
 
     def _learn_chunk(
         self, words: list[str], prefix: str, before: bytes, learned: dict[str, bytes]
@@ -179,19 +196,9 @@ class WordEncoder:
         return ids
 
 
-def _places_of_none(values: list) -> list[int]:
-    places, at = [], -1
-    try:
-        while True:
-            at = values.index(None, at + 1)
-            places.append(at)
-    except ValueError:
-        return places
-
-
 def _only_letters(word: str) -> bool:
-    letters = word.removeprefix("\n")
-    return letters.isalpha() and max(letters) <= _LAST_LETTER
+    letters = word[1:] if word[0] == "\n" else word
+    return letters.isalpha() and (letters.isascii() or max(letters) <= _LAST_LETTER)
 
 
 def _stem(word: str) -> str:
