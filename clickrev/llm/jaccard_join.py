@@ -32,11 +32,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickrev.llm.arrow import slices, staged, texts_of
 from clickrev.llm.components import connected_components
 from clickrev.llm.words import MIX_A, MIX_B, mixed, shingles
+from clickrev.operators.names import own_names
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -316,7 +317,7 @@ def _verified(groups: DataFrame, docs: DataFrame, words: int, threshold: float)
         names = ["node", "root", "chunks", "copies"]
         for batch in slices(batches):
             sets = [shingles(text, words) for text in texts_of(batch)]
-            # of rows that share a doc_id, those with other texts are not this set
+            # a text of the same hash but another set is not this one
             mine = [set_digest(s) == node for s, node in zip(sets, batch.column("node").to_pylist(), strict=True)]
             columns = [*(batch.column(c) for c in names), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "tokens"]).filter(pa.array(mine, pa.bool_()))
@@ -354,29 +355,38 @@ def _verified(groups: DataFrame, docs: DataFrame, words: int, threshold: float)
         columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
         return pa.RecordBatch.from_arrays(columns, ["node", "head", "links"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("of_id"), F.xxhash64("text").alias("of_hash"), "text"
+    )
     # whole texts are not dealt out again if the list of those wanted is small
     few = groups.count() <= BROADCAST_SETS
-    wanted = texts.join(F.broadcast(groups) if few else groups, "doc_id").select("node", "root", "chunks", "copies", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    wanted = texts.join(F.broadcast(groups) if few else groups, same).select("node", "root", "chunks", "copies", "text")
     tokenized = wanted.mapInArrow(tokenize, "node BIGINT, root BIGINT, chunks INT, copies BIGINT, tokens BINARY")
     rows = _chunk_pairs(tokenized, "root").select("node", "root", "_first", "_second", "_chunk", "copies", "tokens")
     return rows.mapInArrow(verify, "node BIGINT, head BIGINT, links BIGINT")
 
 
+def _first_row() -> Column:
+    """Orders rows by id, those without one last, then by the hash of the text."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+
+
 def similarity_classes(
     docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, runs_: int = RUNS
 ) -> DataFrame:
-    """``doc_id, text_hash, class_id, n_links`` of every row of ``docs`` (doc_id, text).
+    """``doc_id, text_hash, class_id, n_links, class_node`` of every row of ``docs`` (doc_id, text).
 
     A class is a connected component of links, equal sets being linked; its id is the
-    smallest doc_id in it. ``n_links`` counts the other documents a document is linked to.
+    smallest doc_id in it. ``class_node`` stands for the class also where no row of it has an
+    id; it is NULL for a row without shingles. ``n_links`` counts the other documents a document is linked to.
     """
     spark = docs.sparkSession
     every = staged(spark, features(docs, words), "features")
     counted = every.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")
+        F.min(_first_row()).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")
     )
-    distinct = staged(spark, counted, "sets")
+    distinct = staged(spark, counted.select("node", "first.doc_id", "first.text_hash", "copies", "n"), "sets")
     # the row of each set's smallest doc_id brings the embedding, once
     embedded = (
         every.filter("node IS NOT NULL")
@@ -394,13 +404,17 @@ def similarity_classes(
     classes = staged(spark, _classes(docs, distinct, groups, words, threshold), "classes")
     # rows without a set would meet in one task of a join
     alone = every.filter("node IS NULL").select(
-        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id",
+        "text_hash",
+        F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("long").alias("class_node"),
     )
     return (
         every.filter("node IS NOT NULL")
         .select("doc_id", "text_hash", "node")
         .join(classes, "node", "left")
-        .select("doc_id", "text_hash", "class_id", "n_links")
+        .select("doc_id", "text_hash", "class_id", "n_links", "class_node")
         .unionByName(alone)
     )
 
@@ -408,7 +422,7 @@ def similarity_classes(
 def _classes(
     docs: DataFrame, distinct: DataFrame, groups: DataFrame, words: int, threshold: float
 ) -> DataFrame:
-    """``node, class_id, n_links`` of every set, from the groups of possible links."""
+    """``node, class_id, n_links, class_node`` of every set, from the groups of possible links."""
     spark = docs.sparkSession
     members = groups.join(distinct, "node")
     sizes = members.groupBy("root").agg(F.ceil(F.sum("n") / GROUP_CHUNK).cast("int").alias("chunks"))
@@ -427,25 +441,41 @@ def _classes(
     headed = heads.join(ids, "node")
     class_ids = headed.groupBy("head").agg(F.min("doc_id").alias("class_id"))
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    grouped = heads.join(class_ids, "head").join(links, "node").select("node", "class_id", "links")
+    grouped = heads.join(class_ids, "head").join(links, "node").select("node", "head", "class_id", "links")
     return ids.join(grouped, "node", "left").select(
         "node",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("head", "node").alias("class_node"),
     )
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose class has a smaller doc_id.
+    """One row of every class of ``docs``: that of the smallest id, then hash of the text.
 
-    Rows without a doc_id stay, and so do rows that repeat both id and text of one that stays.
+    Rows without an id come last. Of rows that repeat id and text one stays, any of them. Rows
+    without shingles, null and blank texts, all stay.
     """
-    classes = similarity_classes(docs, words, threshold)
-    removed = classes.filter("doc_id <> class_id").select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
-    ).distinct()
-    same = (F.col("doc_id") == F.col("_doc_id")) & (F.xxhash64("text") == F.col("_text_hash"))
-    return docs.join(removed, same, "left_anti")
+    spark = docs.sparkSession
+    _ = own_names(docs)
+    classes = similarity_classes(docs, words, threshold).filter("class_node IS NOT NULL")
+    keys = classes.groupBy("doc_id", "text_hash", "class_node").agg(F.count(F.lit(1)).alias("rows"))
+    keys = staged(spark, keys, "class-rows")
+    best = keys.groupBy(F.col("class_node").alias("best_of")).agg(F.min(_first_row()).alias("best"))
+    is_best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    marked = keys.join(best, F.col("class_node") == F.col("best_of")).select(
+        F.col("doc_id").alias(_("id")), F.col("text_hash").alias(_("hash")), "rows", is_best.alias("best")
+    )
+    marked = staged(spark, marked, "class-best")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(_("id"))) & (F.xxhash64("text") == F.col(_("hash")))
+
+    kept = docs.join(marked.filter("NOT best").select(_("id"), _("hash")), same, "left_anti")
+    repeated = marked.filter("best AND rows > 1").select(_("id"), _("hash"))
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(repeated, same, "left_semi").withColumn(_("hash"), F.xxhash64("text"))
+    once = again.dropDuplicates(["doc_id", _("hash")]).drop(_("hash"))
+    return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
 def op2_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -305,10 +305,12 @@ class WordScores:
         return np.log(forward[length])
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to ``docs``. No shuffle."""
+def identify(
+    docs: DataFrame, model: LanguageModel, text: str = "text", into: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Add the language and its score to ``docs``, in two new columns ``into``. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x pieces numbers
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], "lang_pred STRING, score DOUBLE"])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], f"`{into[0]}` STRING, `{into[1]}` DOUBLE"])
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = shared.value.languages
@@ -325,7 +327,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                     found.append(languages[best])
                     certain.append(float(1.0 / np.exp(logs - logs[best]).sum()))
             arrays = [*batch.columns, pa.array(found, pa.string()), pa.array(certain, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *into])
 
     return docs.mapInArrow(predict, schema)
 
