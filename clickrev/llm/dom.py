@@ -154,16 +154,6 @@ def path_digest(parent: int, label: str) -> int:
     return value - (1 << 63)  # fits a signed column
 
 
-def _boilerplate(words: frozenset[str], in_article: bool) -> bool:
-    """Whether the words of one class or id name boilerplate."""
-    if words & _NEGATED:
-        return False
-    found = words & _DROPPED_NAMES
-    if in_article or words & _CONTENT_NAMES:
-        found -= {"header"}  # the head of a post, with its title
-    return bool(found)
-
-
 def parse(html: str) -> Page:
     """The tree of a page. Unclosed and misplaced tags are mended, nothing raises."""
     root = Element("html", "html", False, frozenset(), "", None, False, False, 0)

@@ -1,27 +1,30 @@
 """Main text of pages by site style trees.
 
 Pages of one host share templates. Their element trees are merged by path, a path being the
-chain of tags and classes from the root. For every path of a host two entropies over its
-pages are taken: of the content (the whole text below it) and of the presentation (the
-labels of its children), each divided by its maximum, the logarithm of the number of pages.
-The importance of a path is a weighted mean of the two, the content's weight being the
-larger: a branch that says the same on every page has none. Branches of low importance are
-removed from each page.
-
-Statistics say nothing about a host with few pages, so tags, roles and class names that mark
-menus, headers, footers, sidebars, notices, adverts, forms and comments remove branches on
-every host. What a page marks as its article is its main text, but for branches inside it
-that say the same in many different articles of the host. Their statistics are of the
-content alone, copies of a whole article count once, and a branch goes only on pages where
-it says what at least ``MIN_PAGES`` different articles say at that path: an article that
-many pages of a host repeat is still their main text. The article itself, and inline
-elements within running text, never go. Where statistics would leave nothing of a page, they
-are not applied to it.
-
-Null html, empty html and pages without an article give empty text. Pages whose url is null
-or names no host get no statistics. Repeated pages count as pages. Very long pages are read
-whole. Other columns are not read.
+chain of tags and classes from the root. For every path of a host two entropies are taken
+over its different articles (copies of a whole article count once, so a host full of them
+teaches nothing false): of the content, the whole text below the path, and of the
+presentation, the labels of its children. An entropy is the collision entropy, the negative
+logarithm of the chance that two of the articles agree there, estimated from pairs and so
+without a bias for hosts of few pages; it is divided by its maximum, the logarithm of the
+number of articles. The importance of a path is a weighted mean of the two, the content's
+weight being the larger: a branch that says the same, or one of a few things, on every page has
+little. On hosts with statistics, branches of low importance are removed from the whole tree
+of each page, whatever their names.
+
+Statistics of sameness cannot tell reader comments or a varying advert from an article, and
+say nothing about a host with few pages. So what they leave is held against tags, roles and
+class names that mark menus, headers, footers, sidebars, notices, adverts, forms and comments;
+and on hosts without a path of low importance, what a page marks as its article is its main
+text. Branches inside the article have statistics of the content alone, and a branch goes
+only on pages where it says what at least ``MIN_PAGES`` different articles say at that path.
+The article itself, and inline elements within running text, never go. Where statistics would
+leave nothing of a page, they are not applied to it.
+
+Null html, empty html and pages without text give empty text. Pages whose url is null
+or names no host get no statistics. Very long pages are read whole. Other columns are not read.
 """
+import math
 import re
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
@@ -32,8 +35,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickrev.llm.arrow import map_arrow, slices, staged
 from clickrev.llm.dom import Element, Page, content_roots, in_running_text, parse, text_under
 
-#: A path needs this many pages before its statistics count.
+#: A path needs this many different articles before its statistics count.
 MIN_PAGES = 4
+#: Bounds of importance outside and inside the article.
+LOW_OUTSIDE = 0.8
 LOW_IMPORTANCE = 0.2
 CONTENT_WEIGHT = 0.9
 #: More low paths than this are joined by a shuffle instead of a broadcast.
@@ -54,22 +59,42 @@ def host_of(url: str | None) -> str | None:
     return match[1].lower() if match else None
 
 
-def path_digests(page: Page) -> list[tuple[int, int, int]]:
-    """Per path outside the article: digests of path, content and presentation."""
-    skip = {id(root) for root in content_roots(page)}
-    contents: dict[int, list[str]] = {}
-    layouts: dict[int, list[str]] = {}
+def _whole_digests(page: Page) -> dict[int, list[str]]:
+    """By element, a digest that stands for the text below it; none where there is no text.
+
+    A digest of digests, so deep trees stay linear.
+    """
     whole: dict[int, list[str]] = {}
     for element in reversed(page.elements):  # children before their parents
-        if id(element) in skip or element.dropped:
-            whole[id(element)] = []
-            continue
         own = [text.strip() for *_, text in element.texts if text.strip()]
         for child in element.children:
-            own += whole.get(id(child), [])
-        # a digest stands for the text from here on up, so deep trees stay linear
+            own += whole[id(child)]
         whole[id(element)] = [str(_digest("\n".join(own)))] if own else []
-        if element.parent is not None and own:
+    return whole
+
+
+def _below(roots: list[Element]) -> list[Element]:
+    found: list[Element] = []
+    waiting = list(reversed(roots))
+    while waiting:
+        element = waiting.pop()
+        found.append(element)
+        waiting.extend(reversed(element.children))
+    return found
+
+
+def path_digests(page: Page, whole: dict[int, list[str]] | None = None) -> list[tuple[int, int, int]]:
+    """Per path outside the article: digests of path, content and presentation.
+
+    The content of what holds the article includes it. Branches that tags or names mark as
+    boilerplate are judged like all others.
+    """
+    whole = whole or _whole_digests(page)
+    inside = {id(element) for element in _below(content_roots(page))}
+    contents: dict[int, list[str]] = {}
+    layouts: dict[int, list[str]] = {}
+    for element in page.elements:
+        if element.parent is not None and whole[id(element)] and id(element) not in inside:
             contents.setdefault(element.path, []).extend(whole[id(element)])
             layouts.setdefault(element.path, []).append(" ".join(child.label for child in element.children))
     return [
@@ -78,35 +103,36 @@ def path_digests(page: Page) -> list[tuple[int, int, int]]:
     ]
 
 
-def article_digests(roots: list[Element]) -> tuple[int, dict[int, int]]:
-    """The digest of the whole article, and per path inside it that of its content."""
-    inside: list[Element] = []
-    waiting = list(reversed(roots))
-    while waiting:
-        element = waiting.pop()
-        if not element.dropped:
-            inside.append(element)
-            waiting.extend(reversed(element.children))
+def article_digests(page: Page, whole: dict[int, list[str]] | None = None) -> tuple[int, dict[int, int]]:
+    """The digest of the article (the page without one), and per path inside it of its content."""
+    whole = whole or _whole_digests(page)
+    roots = content_roots(page)
     tops = {id(root) for root in roots}
+    inside = _below(roots)
     never = {e.path for e in inside if id(e) in tops or in_running_text(e)}
     contents: dict[int, list[str]] = {}
-    whole: dict[int, list[str]] = {}
-    for element in reversed(inside):  # children before their parents
-        own = [text.strip() for *_, text in element.texts if text.strip()]
-        for child in element.children:
-            own += whole.get(id(child), [])
-        whole[id(element)] = [str(_digest("\n".join(own)))] if own else []
-        if own and element.path not in never:
+    for element in inside:
+        if whole[id(element)] and element.path not in never:
             contents.setdefault(element.path, []).extend(whole[id(element)])
-    article = _digest("\n".join(digest for root in roots for digest in whole.get(id(root), [])))
+    article = _digest("\n".join(digest for root in roots or [page.root] for digest in whole[id(root)]))
     return article, {path: _digest("\n".join(texts)) for path, texts in contents.items()}
 
 
+def importance_of(counts: list[list[int]]) -> float:
+    """Importance of a path from the numbers of articles with each content and each layout."""
+    entropies = []
+    for numbers in counts:
+        n, pairs = sum(numbers), sum(k * (k - 1) for k in numbers)
+        largest = math.log(n)
+        entropies.append(min(1.0, math.log(n * (n - 1) / pairs) / largest) if pairs else 1.0)
+    return CONTENT_WEIGHT * entropies[0] + (1 - CONTENT_WEIGHT) * entropies[1]
+
+
 def low_importance_paths(pages: DataFrame) -> DataFrame:
     """``host, path`` of the branches to remove, from ``pages`` (url, html).
 
     For a branch inside the article, ``path`` is its path xor the digest of its content.
-    Counts are summed up by (host, path, digest) before they meet by (host, path), so the
+    Different articles are counted by (host, path, digest) before they meet by (host, path), so the
     pages of a large host do not meet in a task; their paths do, and a site has few.
     """
 
@@ -117,9 +143,10 @@ def low_importance_paths(pages: DataFrame) -> DataFrame:
                 host = host_of(url)
                 if host and html:
                     page = parse(html)
-                    for path, content, layout in path_digests(page):
-                        rows += [(host, path, 0, content, 0), (host, path, 1, layout, 0)]
-                    article, inside = article_digests(content_roots(page))
+                    whole = _whole_digests(page)
+                    article, inside = article_digests(page, whole)
+                    for path, content, layout in path_digests(page, whole):
+                        rows += [(host, path, 0, content, article), (host, path, 1, layout, article)]
                     rows += [(host, path, _INSIDE, content, article) for path, content in inside.items()]
             if rows:
                 kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
@@ -131,27 +158,28 @@ def low_importance_paths(pages: DataFrame) -> DataFrame:
     schema = "host STRING, path BIGINT, kind INT, digest BIGINT, article BIGINT"
     counts = (
         map_arrow(pages, ["url", "html"], digests, schema)
-        .groupBy("host", "path", "kind", "digest", "article")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .distinct()
         .groupBy("host", "path", "kind", "digest")
-        .agg(F.sum(F.when(F.col("kind") == _INSIDE, F.lit(1)).otherwise(F.col("n"))).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = staged(pages.sparkSession, counts, "path-counts")
     inside = F.col("kind") == _INSIDE
+    n = F.col("n").cast("double")
     by_kind = counts.groupBy("host", "path", "kind").agg(
-        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")
+        F.sum(n).alias("articles"), F.sum(n * (n - 1)).alias("pairs")
     )
-    entropy = (F.log("pages") - F.col("n_log_n") / F.col("pages")) / F.log("pages")
+    chance = F.col("pairs") / (F.col("articles") * (F.col("articles") - 1))
+    entropy = F.when(chance > 0, F.least(F.lit(1.0), -F.log(chance) / F.log("articles"))).otherwise(1.0)
     weight = (
         F.when(inside, F.lit(1.0))
         .when(F.col("kind") == 0, F.lit(CONTENT_WEIGHT))
         .otherwise(F.lit(1 - CONTENT_WEIGHT))
     )
     low = (
-        by_kind.filter(F.col("pages") >= MIN_PAGES)
+        by_kind.filter(F.col("articles") >= MIN_PAGES)
         .groupBy("host", "path", inside.alias("inside"))
         .agg(F.sum(weight * entropy).alias("importance"))
-        .filter(F.col("importance") < LOW_IMPORTANCE)
+        .filter(F.col("importance") < F.when(F.col("inside"), LOW_IMPORTANCE).otherwise(LOW_OUTSIDE))
     )
     repeated = counts.filter(inside & (F.col("n") >= MIN_PAGES)).select("host", "path", "digest")
     said = low.filter("inside").select("host", "path").join(repeated, ["host", "path"])
@@ -166,11 +194,12 @@ def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
         return ""
     page = parse(html)
     roots = content_roots(page)
-    if roots:
-        inside = article_digests(roots)[1] if low else {}
-        removed = frozenset(path for path, content in inside.items() if path ^ content in low)
-        return text_under(roots, removed) or text_under(roots)
-    return text_under([page.root], low) or text_under([page.root])
+    if low:
+        removed = frozenset(path for path, content in article_digests(page)[1].items() if path ^ content in low)
+        judged = text_under([page.root], low | removed)
+        if judged:
+            return judged
+    return text_under(roots or [page.root])
 
 
 def extract(pages: DataFrame) -> DataFrame:
