@@ -12,12 +12,14 @@ folder, and the next one reads it. All but the last keep the columns of ``docume
 """
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickrev.llm.arrow import staged
 from clickrev.llm.decontaminate import decontaminate
 from clickrev.llm.jaccard_join import one_of_each
 from clickrev.llm.language import UNDETERMINED, held_out, identify, train
 from clickrev.llm.packing import pack_documents
 from clickrev.llm.pii import redact
+from clickrev.operators.names import own_names
+from clickrev.sources.files import join_path
+from clickrev.sources.workspace import discard, scratch, workspace
 
 #: A language must be more likely than all others together.
 LEAST_SCORE = 0.5
@@ -26,8 +28,9 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language; learned from the documents not held out."""
     model = train(docs.filter(~held_out(F.col("doc_id"))))
-    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return identify(docs, model).filter(known).select(*docs.columns)
+    _ = own_names(docs)
+    known = (F.col(_("lang")) != UNDETERMINED) & (F.col(_("score")) >= LEAST_SCORE)
+    return identify(docs, model, into=(_("lang"), _("score"))).filter(known).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +66,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
+    """All stages over the whole of ``documents``.
+
+    A stage's own intermediate tables, and the table it read, go as soon as its result is
+    written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    read: str | None = None
     for name, stage in STAGES:
-        docs = staged(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = workspace(spark, f"pipeline-{name}")
+        table = join_path(folder, "table")
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(table)
+        if read:
+            discard(spark, read)
+        docs, read = spark.read.schema(result.schema).parquet(table), folder
     return docs
