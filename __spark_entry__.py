@@ -8,6 +8,7 @@ apart from the Spark code.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import date
 
@@ -59,7 +60,8 @@ from clickrev.sources.workspace import workspace
 try:
     import corpus_pipeline  # noqa: F401
     from clickrev.llm import registry as _llm
-except ImportError:  # the subpackage and the pipeline may be taken out
+except ImportError as error:  # the subpackage and the pipeline may be taken out
+    logging.getLogger(__name__).warning("without the operators for training data: %s", error)
     _llm = None
 
 _FLAGSHIP_DIR = "/root/testdata/sf0.001"
