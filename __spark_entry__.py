@@ -31,6 +31,8 @@ from clickrev.operators import (
     first_hits,
     gap_session_report,
     gap_sessions,
+    offer_hits,
+    offer_report,
     product_entries,
     product_hits,
     product_level,
@@ -56,6 +58,7 @@ from clickrev.sources import (
 from clickrev.sources.events_table import hits_from_events
 from clickrev.sources.files import join_path
 from clickrev.sources.workspace import workspace
+from clickrev.streaming import conform_stream, stream_sessions
 
 try:
     import corpus_pipeline  # noqa: F401
@@ -246,6 +249,54 @@ def _gap_session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("revenue", F.round("revenue", 2))
 
 
+def _offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An offer per visitor who signs up, running for 0 to 1,000 hours."""
+    number = F.regexp_extract("page_url", "id=([0-9]+)", 1).cast("long")
+    return (
+        _all_hits(spark, sf_dir)
+        .filter("event_list = '11'")
+        .select(
+            F.col("page_url").alias("offer"),
+            "ip",
+            F.col("hit_time_gmt").cast("long").alias("starts"),
+            (F.col("hit_time_gmt") + F.pow(number % 11, F.lit(3)).cast("long")).alias("ends"),
+        )
+    )
+
+
+def _offer_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offer_hits(_all_hits(spark, sf_dir), _offers(spark, sf_dir)).select(
+        "ip", "hit_time_gmt", "page_url", "offer", "starts", "ends"
+    )
+
+
+def _offer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = offer_report(_all_hits(spark, sf_dir), _offers(spark, sf_dir))
+    return report.withColumn("revenue", F.round("revenue", 2))
+
+
+def _stream_in_two_runs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The hits as raw files of two halves of their time; the stream runs after each half."""
+    folder = workspace(spark, "stream")
+    raw, out_dir, state = [join_path(folder, name) for name in ("raw", "conformed", "state")]
+    hits = _hits(spark, sf_dir)
+    middle = hits.agg(F.avg("hit_time_gmt")).first()[0] or 0.0
+    for lot, half in enumerate([F.col("hit_time_gmt") < middle, F.col("hit_time_gmt") >= middle]):
+        _write_raw(hits.filter(half), join_path(raw, f"lot-{lot}"))
+        conform_stream(spark, join_path(raw, "lot-*"), out_dir, state, gap=_GAP_HOURS, delay=2 * _GAP_HOURS)
+    return out_dir, state
+
+
+def _stream_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out_dir, _ = _stream_in_two_runs(spark, sf_dir)
+    return read_product_level(spark, join_path(out_dir, PRODUCT_LEVEL))
+
+
+def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = stream_sessions(spark, *_stream_in_two_runs(spark, sf_dir))
+    return sessions.withColumn("revenue", F.round("revenue", 2))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The keyword report over the smallest scale factor."""
     return _search_keyword_performance(spark, _FLAGSHIP_DIR)
@@ -303,6 +354,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ip", "hit_time_gmt", "page_url", "session_number"
         ),
         "gap_session_report": _gap_session_report,
+        "offer_hits": _offer_hits,
+        "offer_report": _offer_report,
+        # streams
+        "stream_product_level": _stream_products,
+        "stream_sessions": _stream_sessions,
         # jobs
         "stage_row_counts": _stage_row_counts,
         "conform_job": _conform_job,
@@ -433,6 +489,11 @@ bought AS (
     WHERE list_contains(list_transform(string_split(event_list, ','), lambda x: trim(x)), '1')
         AND product_total_revenue > 0
 ),
+purchased AS (
+    SELECT page_url, product_total_revenue FROM product_level
+    WHERE list_contains(list_transform(string_split(event_list, ','), lambda x: trim(x)), '1')
+        AND product_total_revenue > 0
+),
 last_search AS (
     SELECT b.*, s.search_engine_domain, s.search_keyword,
         CAST(s.hit_time_gmt AS BIGINT) AS search_time
@@ -448,6 +509,12 @@ numbered_hits AS (
                 PARTITION BY ip ORDER BY hit_time_gmt) <= 12 THEN 0 ELSE 1 END AS opens
         FROM origins)
 ),
+offers AS (
+    SELECT page_url AS offer, ip, CAST(hit_time_gmt AS BIGINT) AS starts,
+        CAST(hit_time_gmt + pow(CAST(regexp_extract(page_url, 'id=([0-9]+)', 1) AS BIGINT) % 11, 3)
+            AS BIGINT) AS ends
+    FROM all_hits WHERE event_list = '11'
+),
 revenue AS (
     SELECT search_engine_domain, search_keyword, round(sum(product_total_revenue), 2) AS revenue
     FROM attributed GROUP BY ALL
@@ -461,6 +528,33 @@ FROM revenue ORDER BY revenue DESC, 1, 2
 """
 
 
+_SESSIONS_SQL = """
+SELECT ip, session_number, session_start, session_end, n_hits,
+    entry.search_engine_domain AS search_engine_domain,
+    entry.search_keyword AS search_keyword, coalesce(revenue, 0.0) AS revenue
+FROM (
+    SELECT ip, session_number, CAST(min(hit_time_gmt) AS BIGINT) AS session_start,
+        CAST(max(hit_time_gmt) AS BIGINT) AS session_end, count(*) AS n_hits
+    FROM numbered_hits GROUP BY ALL)
+LEFT JOIN (
+    SELECT h.ip, h.session_number,
+        min({'search_engine_domain': search_engine_domain,
+             'search_keyword': search_keyword}) AS entry
+    FROM numbered_hits h JOIN (
+        SELECT ip, session_number, min(hit_time_gmt) AS first_time
+        FROM numbered_hits GROUP BY ALL) f
+        ON h.ip = f.ip AND h.session_number = f.session_number
+            AND h.hit_time_gmt = f.first_time
+    WHERE search_keyword <> '' GROUP BY ALL) USING (ip, session_number)
+LEFT JOIN (
+    SELECT n.ip, n.session_number, round(sum(b.product_total_revenue), 2) AS revenue
+    FROM bought b JOIN (
+        SELECT DISTINCT ip, hit_time_gmt, session_number FROM numbered_hits) n
+        ON b.ip = n.ip AND b.hit_time_gmt = n.hit_time_gmt
+    GROUP BY ALL) USING (ip, session_number)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL."""
     on_hits = {
@@ -508,31 +602,24 @@ def oracle_sql() -> dict[str, str]:
             FROM last_search GROUP BY ALL
         """,
         "gap_sessions": "SELECT ip, hit_time_gmt, page_url, session_number FROM numbered_hits",
-        "gap_session_report": """
-            SELECT ip, session_number, session_start, session_end, n_hits,
-                entry.search_engine_domain AS search_engine_domain,
-                entry.search_keyword AS search_keyword, coalesce(revenue, 0.0) AS revenue
-            FROM (
-                SELECT ip, session_number, CAST(min(hit_time_gmt) AS BIGINT) AS session_start,
-                    CAST(max(hit_time_gmt) AS BIGINT) AS session_end, count(*) AS n_hits
-                FROM numbered_hits GROUP BY ALL)
-            LEFT JOIN (
-                SELECT h.ip, h.session_number,
-                    min({'search_engine_domain': search_engine_domain,
-                         'search_keyword': search_keyword}) AS entry
-                FROM numbered_hits h JOIN (
-                    SELECT ip, session_number, min(hit_time_gmt) AS first_time
-                    FROM numbered_hits GROUP BY ALL) f
-                    ON h.ip = f.ip AND h.session_number = f.session_number
-                        AND h.hit_time_gmt = f.first_time
-                WHERE search_keyword <> '' GROUP BY ALL) USING (ip, session_number)
-            LEFT JOIN (
-                SELECT n.ip, n.session_number, round(sum(b.product_total_revenue), 2) AS revenue
-                FROM bought b JOIN (
-                    SELECT DISTINCT ip, hit_time_gmt, session_number FROM numbered_hits) n
-                    ON b.ip = n.ip AND b.hit_time_gmt = n.hit_time_gmt
-                GROUP BY ALL) USING (ip, session_number)
+        "gap_session_report": _SESSIONS_SQL,
+        "offer_hits": """
+            SELECT h.ip, h.hit_time_gmt, h.page_url, o.offer, o.starts, o.ends
+            FROM all_hits h JOIN offers o
+                ON h.ip = o.ip AND h.hit_time_gmt BETWEEN o.starts AND o.ends
+        """,
+        "offer_report": """
+            SELECT o.*, count(DISTINCT h.page_url) AS n_hits,
+                coalesce(round(sum(b.product_total_revenue), 2), 0.0) AS revenue
+            FROM all_hits h
+            JOIN offers o ON h.ip = o.ip AND h.hit_time_gmt BETWEEN o.starts AND o.ends
+            LEFT JOIN (SELECT page_url, product_total_revenue FROM purchased) b USING (page_url)
+            GROUP BY ALL
+        """,
+        "stream_product_level": """
+            SELECT * REPLACE (date_trunc('second', date_time) AS date_time) FROM product_level
         """,
+        "stream_sessions": f"SELECT * EXCLUDE (session_number) FROM ({_SESSIONS_SQL})",
         "stage_row_counts": """
             SELECT 'raw_hits' AS stage, count(*) AS n_rows FROM hits
             UNION ALL SELECT 'all_hits', count(*) FROM all_hits

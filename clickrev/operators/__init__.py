@@ -7,6 +7,7 @@ from clickrev.operators.attribution import (
     search_keyword_performance,
 )
 from clickrev.operators.clean import blank_to_null, clean_hits, trim_strings
+from clickrev.operators.intervals import interval_join, offer_hits, offer_report
 from clickrev.operators.products import product_entries, product_hits, product_level
 from clickrev.operators.ranking import first_hits, rank_hits
 from clickrev.operators.sessions import session_search_origin, with_search_origin
@@ -29,6 +30,9 @@ __all__ = [
     "first_hits",
     "gap_session_report",
     "gap_sessions",
+    "interval_join",
+    "offer_hits",
+    "offer_report",
     "product_entries",
     "product_hits",
     "product_level",
