@@ -9,6 +9,12 @@ counted per item in bands of diagonals that overlap by half, each twice as wide
 so every run of k + 1 neighbouring diagonals lies in one band. Bands that reach the bound
 are verified by an alignment restricted to the band.
 
+An item of more than ``WINDOW`` characters is also looked for in parts: in windows of so many
+characters, one every half window, each an item of its own with its own bound. So every part
+of at least one and a half windows that a document repeats holds a whole window and is
+found. Windows found where the document's places overlap make one region; those inside a
+whole item found are that item.
+
 For items so short that the bound would be less than one, k is lowered until it is one; an
 item of fewer than q letters and digits is found by plain search, as a whole document only
 (elsewhere its few letters mean nothing).
@@ -16,6 +22,10 @@ item of fewer than q letters and digits is found by plain search, as a whole doc
 The benchmark is read in blocks of bounded size; each block's index is broadcast and the
 documents are scanned once per block. Documents are never shuffled.
 
+A region has ``share``, the part of the item's characters that its windows cover (1.0 for a
+whole item), and as ``edits`` those of its worst window. An item has its best whole place, the
+first of several, and every region outside of it.
+
 Null or empty texts match nothing; so does an item without letters and digits. Repeated
 rows are reported one by one. Other columns pass through ``decontaminate``.
 """
@@ -31,6 +41,8 @@ from clickrev.llm.words import MIX_A, mixed
 
 Q = 10
 MAX_ERROR = 0.08
+#: Letters and digits in a window of a longer item; windows begin every half of it.
+WINDOW = 160
 #: Characters of benchmark text in one broadcast index.
 BLOCK_CHARS = 4_000_000
 _BITMAP_BITS = 22
@@ -88,20 +100,39 @@ class Item:
     least: int  # q-grams that must be shared in a band
 
 
-def item_of(item_id: int, text: str, q: int = Q, max_error: float = MAX_ERROR) -> Item:
-    codes, _ = normalized(text)
+def _item(item_id: int, codes: np.ndarray, q: int, max_error: float) -> Item:
     m = len(codes)
     budget = max(0, min(int(max_error * m), (m - q) // q))
     return Item(item_id, codes, budget, m - q + 1 - budget * q)
 
 
+def item_of(item_id: int, text: str, q: int = Q, max_error: float = MAX_ERROR) -> Item:
+    return _item(item_id, normalized(text)[0], q, max_error)
+
+
+def window_starts(length: int, window: int = WINDOW) -> list[int]:
+    """Where the windows of an item begin; the last one ends with the item."""
+    if length <= window:
+        return []
+    return [*range(0, length - window, window // 2), length - window]
+
+
 class Index:
     """The q-grams of a block of items."""
 
-    def __init__(self, items: list[Item], q: int = Q) -> None:
+    def __init__(self, items: list[Item], q: int = Q, max_error: float = MAX_ERROR) -> None:
         self.q = q
         self.short = [item for item in items if 0 < len(item.codes) < q]
         self.items = [item for item in items if len(item.codes) >= q]
+        # whole items first, then their windows: of which item, and where in it
+        self.wholes = len(self.items)
+        self.window_of = [
+            (k, start) for k in range(self.wholes) for start in window_starts(len(self.items[k].codes))
+        ]
+        self.items += [
+            _item(self.items[k].item_id, self.items[k].codes[start : start + WINDOW], q, max_error)
+            for k, start in self.window_of
+        ]
         grams = [qgrams(item.codes, q) for item in self.items]
         keys = np.concatenate([*grams, np.empty(0, np.uint64)])
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -114,24 +145,38 @@ class Index:
         self.least = np.array([item.least for item in self.items], np.int64)
         self.fewest = int(self.least.min()) if self.items else 0
 
-    def find(self, text: str) -> list[tuple[int, int, int, int]]:
-        """``(item_id, start, end, edits)`` of the best match of each item in a text."""
+    def find(self, text: str) -> list[tuple[int, int, int, int, float]]:
+        """``(item_id, start, end, edits, share)`` of every item and region found in a text."""
         codes, places = normalized(text)
         best: dict[int, tuple[int, int, int]] = {}
-        for item in self.short:
-            if np.array_equal(codes, item.codes):
-                best[id(item)] = (0, 0, len(codes))
+        windows: dict[int, list[tuple[int, int, int, int]]] = {}
         for k, low in self._bands(codes):
             item = self.items[k]
-            edits, start, end = align(codes, item.codes, low, low + 2 * self._band(k), item.budget)
-            if edits <= item.budget and (id(item) not in best or (edits, start) < best[id(item)][:2]):
-                best[id(item)] = (edits, start, end)
-        found = []
-        for item in (*self.short, *self.items):
-            if id(item) in best:
-                edits, start, end = best[id(item)]
-                found.append((item.item_id, int(places[start]), int(places[end - 1]) + 1, edits))
-        return found
+            high = low + 2 * self._band(k)
+            if k >= self.wholes:
+                # bands of whole items come first
+                whole, at = self.window_of[k - self.wholes]
+                if whole in best and best[whole][1] <= low + item.budget and high - item.budget + len(item.codes) <= best[whole][2]:
+                    continue
+            edits, start, end = align(codes, item.codes, low, high, item.budget)
+            if edits > item.budget:
+                continue
+            if k >= self.wholes:
+                windows.setdefault(whole, []).append((start, end, at, edits))
+            elif k not in best or (edits, start) < best[k][:2]:
+                best[k] = (edits, start, end)
+        found = [(item.item_id, 0, len(codes), 0, 1.0) for item in self.short if np.array_equal(codes, item.codes)]
+        for k, item in enumerate(self.items[: self.wholes]):
+            whole = best.get(k)
+            if whole:
+                found.append((item.item_id, whole[1], whole[2], whole[0], 1.0))
+            outside = [w for w in windows.get(k, []) if not whole or w[1] <= whole[1] or whole[2] <= w[0]]
+            for start, end, edits, covered in regions(outside):
+                found.append((item.item_id, start, end, edits, covered / len(item.codes)))
+        return [
+            (item_id, int(places[start]), int(places[end - 1]) + 1, edits, share)
+            for item_id, start, end, edits, share in found
+        ]
 
     def _band(self, k: int) -> int:
         """Half the width of a band of item k."""
@@ -167,6 +212,26 @@ class Index:
                 yield k, ((key & ((1 << 42) - 1)) - shift) * half_k
 
 
+def regions(windows: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """``start, end, edits, covered`` of windows ``(start, end, place in the item, edits)`` that overlap.
+
+    ``covered`` counts the item's characters in any of the windows.
+    """
+    region: list[tuple[int, int, int, int]] = []
+    end = 0
+    for window in [*sorted(windows), None]:
+        if region and (window is None or window[0] >= end):
+            covered, until = 0, 0
+            for at in sorted(at for _, _, at, _ in region):
+                covered += at + WINDOW - max(at, until)
+                until = at + WINDOW
+            yield region[0][0], end, max(edits for *_, edits in region), covered
+            region, end = [], 0
+        if window:
+            region.append(window)
+            end = max(end, window[1])
+
+
 def align(codes: np.ndarray, item: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int]:
     """Fewest edits that turn the item into a part of ``codes`` within diagonals low to high.
 
@@ -221,12 +286,17 @@ def blocks_of(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[
         yield [item_of(row["item_id"], row["text"] or "") for row in rows]
 
 
+_FOUND = pa.schema(
+    [(name, pa.int64()) for name in ("doc_id", "item_id", "start", "end", "edits")] + [("share", pa.float64())]
+)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, start, end, edits``: the best place of each item in each document.
+    """``doc_id, item_id, start, end, edits, share``: items and regions of them in documents.
 
     Offsets are code points of the document's text.
     """
-    schema = "doc_id BIGINT, item_id BIGINT, start BIGINT, end BIGINT, edits BIGINT"
+    schema = "doc_id BIGINT, item_id BIGINT, start BIGINT, end BIGINT, edits BIGINT, share DOUBLE"
     context = docs.sparkSession.sparkContext
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     result = None
@@ -242,8 +312,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     for match in index.find(text)
                 ]
                 if rows:
-                    columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "end", "edits"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FOUND, strict=True)], schema=_FOUND
+                    )
 
         found = wanted.mapInArrow(find, schema)
         result = found if result is None else result.unionByName(found)
@@ -251,7 +322,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text holds a benchmark item."""
+    """``docs`` without the rows whose text holds a benchmark item, or a window of one."""
     context = docs.sparkSession.sparkContext
     schema = docs.schema
     for items in blocks_of(benchmark):
@@ -268,6 +339,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op5_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items found in any document."""
+    """Benchmark items, and regions of them, found in any document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
