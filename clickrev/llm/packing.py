@@ -40,6 +40,8 @@ SHARD_TOKENS = 1 << 19
 #: Shards in one range of the shuffle.
 RANGE_SHARDS = 4
 KEYS = 3
+#: Rows encoded at a time; a word is looked up once for all of them.
+ENCODED_AT_ONCE = 4096
 _K1, _B = 1.2, 0.75
 
 _PIECES = [
@@ -92,24 +94,35 @@ def content_keys(terms: np.ndarray, ranks: np.ndarray) -> list[int]:
     return [int(terms[b]) if np.isfinite(found[k, b]) else -1 for k, b in enumerate(best)]
 
 
+def _counted(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers in order, and how often each is there."""
+    counts = np.bincount(numbers)
+    different = np.flatnonzero(counts)
+    return different, counts[different]
+
+
 class Bm25:
     """Inverted index over the token ids of a shard's documents."""
 
     def __init__(self, documents: list[np.ndarray], corpus: Corpus | None = None) -> None:
         corpus = corpus or corpus_of(documents)
         n = len(documents)
-        counted = [np.unique(ids, return_counts=True) for ids in documents]
+        different = np.flatnonzero(np.bincount(np.concatenate(documents)))
+        # the shard's terms by their number among them, so a document is counted in a short array
+        numbers = np.zeros(different[-1] + 1, np.min_scalar_type(len(different)))
+        numbers[different] = np.arange(len(different))
+        counted = [_counted(numbers[ids]) for ids in documents]
         self._terms = [terms for terms, _ in counted]
-        terms = np.concatenate(self._terms)
         counts = np.concatenate([counts for _, counts in counted]).astype(float)
+        terms = np.concatenate(self._terms)
         owner = np.repeat(np.arange(n), [len(t) for t in self._terms])
         lengths = np.array([len(ids) for ids in documents], float)
         frequency = np.bincount(terms)
-        idf = corpus.idf()[: len(frequency)]
+        idf = corpus.idf()[different]
         norm = _K1 * (1 - _B + _B * lengths / max(corpus.tokens / corpus.documents, 1.0))
         weights = idf[terms] * counts * (_K1 + 1) / (counts + norm[owner])
         telling = weights > 0
-        order = np.argsort(terms[telling], kind="stable")
+        order = np.argsort(terms[telling].astype(numbers.dtype), kind="stable")
         self._owner, self._weights = owner[telling][order], weights[telling][order]
         many = np.where(idf > 0, frequency, 0)
         self._ends = np.cumsum(many)
@@ -155,8 +168,8 @@ def pack(
 
 
 def _best_first(scores: np.ndarray, used: np.ndarray) -> Iterator[int]:
-    order = np.argsort(-scores, kind="stable")
-    return iter(order[(scores[order] > 0) & ~used[order]].tolist())
+    found = np.flatnonzero((scores > 0) & ~used)
+    return iter(found[np.argsort(-scores[found], kind="stable")].tolist())
 
 
 _KEY_NAMES = [f"key{k}" for k in range(KEYS)]
@@ -188,7 +201,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
         ranks = key_ranks(encoder.size)
         end = np.array([END_ID], "<u4").tobytes()
         frequency, n, total = np.zeros(encoder.size, np.int64), 0, 0
-        for batch in slices(batches):
+        for batch in slices(batches, ENCODED_AT_ONCE):
             rows = []
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
                 ids = np.frombuffer(raw + end, "<u4")

@@ -1,23 +1,31 @@
 """Token ids of whole texts, with a cache of the ids of words.
 
 The byte-level tokenizer never merges across the start of a word, so the ids of a
-text are those of its words one after another. Words repeat, so each is encoded once
-per worker and the rest is a look-up. Words are encoded by the ``tokenizers`` library,
-many in one call. Words of letters only are one piece each for the tokenizer, so they go
-to its model without being searched for pieces.
+text are those of its words one after another. The texts of a call are split and their
+words numbered by Arrow, so a word is looked up once a call, and the texts' ids are one
+``take`` by those numbers. Words repeat from call to call as well, so each is encoded once
+per worker while it is remembered. Words are encoded by the ``tokenizers`` library, many in
+one call. Words of letters only are one piece each for the tokenizer, so they go to its
+model without being searched for pieces.
 """
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 END_ID = 0
 
-_CACHED_WORDS = 800_000
+#: Words in each half of the cache.
+_CACHED_WORDS = 400_000
 _CACHED_WORD_CHARS = 48
 _JOINED_CHARS = 1 << 16
+#: Characters of the texts that are split at a time; a longer text is split alone.
+_SPLIT_CHARS = 1 << 23
 # Signs that never join the letters before them.
 _SIGNS = ".,!?;:%&#$*"
 # White space as Python and Unicode know it, without the blank and the line break.
@@ -59,7 +67,8 @@ class WordEncoder:
     """``encode`` gives, per text, the little-endian unsigned 32-bit ids as bytes.
 
     Keys of the cache: ``"word"`` stands for a word after one space, ``"\\nword"`` for
-    one after a single line break.
+    one after a single line break, without the signs after its last letter. When the newer
+    half is full it becomes the older one, whose words are taken over as they are met again.
     """
 
     def __init__(self, path: str) -> None:
@@ -72,7 +81,11 @@ class WordEncoder:
         if len(self._line_break) != 4:
             raise ValueError("the tokenizer must have one id for a line break")
         self._line_break_id = np.frombuffer(self._line_break, "<u4")[0]
+        self._has_blank = np.zeros(self.size, bool)
+        for piece, token_id in self._tokenizer.get_vocab().items():
+            self._has_blank[token_id] = _BYTE_SIGNS[32] in piece
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._signs_known: dict[str, bytes] = {}
 
     @property
@@ -81,109 +94,132 @@ class WordEncoder:
         return max(self._tokenizer.get_vocab().values()) + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > _CACHED_WORDS:
-            self._known.clear()
-        known = self._known
-        split: list[list[str] | None] = []
-        new: set[str] = set()
-        for text in texts:
-            words = _words(text)
-            if words is not None:
-                different = set(words)
-                # empty keys come from runs of white space, which are encoded in their context
-                if "" in different or "\n" in different:
-                    words = None
-                else:
-                    new |= different.difference(known)
-            split.append(words)
-        self._learn(new)
+        out: list[bytes] = []
+        for some in _bounded(texts):
+            lines = [_line(text) for text in some]
+            by_words = iter(self._by_words([line for line in lines if line is not None]))
+            out += [
+                self._plain(text) if line is None else next(by_words)
+                for text, line in zip(some, lines, strict=True)
+            ]
+        return out
+
+    def _by_words(self, lines: list[str]) -> list[bytes]:
+        if not lines:
+            return []
+        kind = pa.string() if len(lines[0]) <= _SPLIT_CHARS else pa.large_string()
+        split = pc.split_pattern(pa.array(lines, kind), " ")
+        numbered = split.values.dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = pa.array(self._ids_of(words), pa.large_binary())
+        _, bounds, ids = known.take(numbered.indices).buffers()
+        ends = np.frombuffer(bounds, "<i8")[split.offsets.to_numpy()].tolist()
         skipped = len(self._line_break)
-        ids = known.__getitem__
-        out = [
-            self._plain(text) if words is None else b"".join(map(ids, words))[skipped:]
-            for text, words in zip(texts, split, strict=True)
+        return [
+            ids[start + skipped : end].to_pybytes() for start, end in zip(ends[:-1], ends[1:], strict=True)
         ]
-        for word in [word for word in new if len(word) > _CACHED_WORD_CHARS]:
-            del known[word]
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
+        if len(self._known) > _CACHED_WORDS:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        stems = words.copy()
+        signed = [k for k, word in enumerate(words) if word[-1] in _SIGNS]
+        for k in signed:
+            stems[k] = _stem(words[k])
+        out = list(map(known.get, stems))
+        unknown = [k for k, ids in enumerate(out) if ids is None]
+        new = {stems[k]: b"" for k in unknown}
+        learn = []
+        for stem in new:
+            ids = older.get(stem)
+            if ids is None:
+                learn.append(stem)
+            else:
+                new[stem] = ids
+        self._learn(learn, new)
+        for k in unknown:
+            out[k] = new[stems[k]]
+        signs_known = self._signs_known
+        for k in signed:
+            signs = words[k][len(stems[k]) :]
+            if signs:
+                out[k] += signs_known.get(signs) or self._signs(signs)
+        for stem in [stem for stem in learn if len(stem) > _CACHED_WORD_CHARS]:
+            del new[stem]
+        known.update(new)
         return out
 
     def _plain(self, text: str) -> bytes:
         (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoded.ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of words into the cache.
-
-        Signs after the last letter are a token of their own, so a word is learned without
-        them and serves with any.
-        """
-        known = self._known
-        letters, others, with_signs = [], [], []
-        stems: dict[str, None] = {}
+    def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Put the ids of different words into a dictionary."""
+        letters: list[str] = []
+        first_letters: list[str] = []
+        others: dict[bool, list[str]] = {False: [], True: []}
         for word in words:
             if _only_letters(word):
                 letters.append(word)
-                continue
-            stem = _stem(word)
-            if stem == word:
-                others.append(word)
-                continue
-            with_signs.append((word, stem))
-            if stem not in known and stem not in words:
-                stems[stem] = None
-        for stem in stems:
-            (letters if _only_letters(stem) else others).append(stem)
-        for words_of_kind, before in (
-            ([word for word in letters if word[0] != "\n"], b""),
-            ([word for word in letters if word[0] == "\n"], self._line_break),
-        ):
-            if words_of_kind:
-                self._learn_letters(words_of_kind, before)
-        for after, prefix, before in (("\n", "", self._line_break), ("", " ", b"")):
+            elif word[0] == "\n" and _only_letters(word[1:]):
+                first_letters.append(word)
+            else:
+                others[word[0] == "\n"].append(word)
+        if letters:
+            self._learn_letters(letters, into)
+        if first_letters:
+            self._learn_first_letters(first_letters, into)
+        for first, prefix, before in ((True, "", self._line_break), (False, " ", b"")):
             chunk: list[str] = []
             size = 0
-            for word in others:
-                if word.startswith("\n") != bool(after):
-                    continue
+            for word in others[first]:
                 chunk.append(word)
                 size += len(word)
                 if size > _JOINED_CHARS:
-                    self._learn_chunk(chunk, prefix, before, known)
+                    self._learn_chunk(chunk, prefix, before, into)
                     chunk, size = [], 0
             if chunk:
-                self._learn_chunk(chunk, prefix, before, known)
-        for word, stem in with_signs:
-            known[word] = known[stem] + self._signs(word[len(stem) :])
-        for stem in stems:
-            if len(stem) > _CACHED_WORD_CHARS:
-                del known[stem]
-
-    def _learn_letters(self, words: list[str], before: bytes) -> None:
-        """Encode words of letters by the model alone, each with its blank as one piece."""
-        text = "".join(words)[1:] if before else " " + "\n ".join(words)
+                self._learn_chunk(chunk, prefix, before, into)
+
+    def _model_ids(self, text: str, line_break: str) -> np.ndarray:
+        """Ids by the model alone, with ``line_break`` in place of each line break."""
         signs = text.encode("utf-8").decode("latin-1")
         for byte in _REPLACED.intersection(signs):
-            signs = signs.replace(byte, _BYTE_SIGNS[ord(byte)])
+            signs = signs.replace(byte, line_break if byte == "\n" else _BYTE_SIGNS[ord(byte)])
         (encoded,) = self._model.encode_batch_fast([signs], add_special_tokens=False)
-        lines = self._lines(encoded.ids)
-        if before:
-            lines = [before + ids for ids in lines]
-        self._known.update(zip(words, lines, strict=True))
+        return np.array(encoded.ids, "<u4")
+
+    def _learn_letters(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Encode words of letters, each with its blank as one piece.
+
+        Only a word's first id has the blank, so it tells where a word begins.
+        """
+        ids = self._model_ids("\n" + "\n".join(words), "\n" + _BYTE_SIGNS[32])
+        starts = (np.flatnonzero(self._has_blank[ids]) * 4).tolist()
+        raw = ids.tobytes()
+        for word, start, end in zip(words, starts, [*starts[1:], len(raw)], strict=True):
+            into[word] = raw[start:end]
+
+    def _learn_first_letters(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Encode words of letters that follow a line break."""
+        lines = self._lines(self._model_ids("".join(words)[1:], _BYTE_SIGNS[10]))
+        into.update(zip(words, [self._line_break + ids for ids in lines], strict=True))
 
     def _learn_chunk(
-        self, words: list[str], prefix: str, before: bytes, learned: dict[str, bytes]
+        self, words: list[str], prefix: str, before: bytes, into: dict[str, bytes]
     ) -> None:
         """Encode words as lines of one text."""
         text = "\n".join([prefix + word.removeprefix("\n") for word in words])
         (encoded,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        for word, ids in zip(words, self._lines(encoded.ids), strict=True):
-            learned[word] = before + ids
+        for word, ids in zip(words, self._lines(np.array(encoded.ids, "<u4")), strict=True):
+            into[word] = before + ids
 
-    def _lines(self, ids: list[int]) -> list[bytes]:
+    def _lines(self, ids: np.ndarray) -> list[bytes]:
         """The ids of each line, which those of the line breaks separate."""
-        values = np.array(ids, "<u4")
-        raw = values.tobytes()
-        ends = (np.flatnonzero(values == self._line_break_id) * 4).tolist()
+        raw = ids.tobytes()
+        ends = (np.flatnonzero(ids == self._line_break_id) * 4).tolist()
         starts = [0, *[end + 4 for end in ends]]
         return [raw[start:end] for start, end in zip(starts, [*ends, len(raw)], strict=True)]
 
@@ -197,8 +233,7 @@ class WordEncoder:
 
 
 def _only_letters(word: str) -> bool:
-    letters = word[1:] if word[0] == "\n" else word
-    return letters.isalpha() and (letters.isascii() or max(letters) <= _LAST_LETTER)
+    return word.isalpha() and (word.isascii() or max(word) <= _LAST_LETTER)
 
 
 def _stem(word: str) -> str:
@@ -206,11 +241,27 @@ def _stem(word: str) -> str:
     return stem if stem and stem[-1].isalpha() else word
 
 
-def _words(text: str) -> list[str] | None:
-    """Keys for the cache, or None for white space other than blanks and line breaks.
+def _bounded(texts: list[str]) -> Iterator[list[str]]:
+    some: list[str] = []
+    size = 0
+    for text in texts:
+        if some and size + len(text) > _SPLIT_CHARS:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
+def _line(text: str) -> str | None:
+    """The text after a line break, whose id the caller cuts off, cut into words by its blanks.
 
-    The text is taken as the line after a line break, whose id the caller cuts off.
+    None for white space other than single blanks and line breaks between words.
     """
     if any(space in text for space in _OTHER_SPACES):
         return None
-    return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+    line = "\n" + text.replace("\n", " \n")
+    if "  " in line or "\n " in line or line[-1] in " \n":
+        return None  # runs of white space are encoded in their context
+    return line

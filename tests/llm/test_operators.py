@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clickrev.llm import components, jaccard_join, language, pii, registry
+from clickrev.llm import components, jaccard_join, language, pii, registry, tokens
 from clickrev.llm.decontaminate import Index, decontaminate, find_contamination, item_of
 from clickrev.llm.dom import path_digest
 from clickrev.llm.fingerprint import compare_with_next, difference, fingerprint, likeness
@@ -444,6 +444,33 @@ def test_ids_of_words_are_those_of_the_whole_text(tokenizer):
             assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, text).tolist()[:-1]
 
 
+def test_words_met_again_are_encoded_once_when_the_cache_is_full(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "_CACHED_WORDS", 20)
+    encoder = tokens.WordEncoder(public_tokenizers.path(TOKENIZER_FILE))
+    learned = Counter()
+    learn = encoder._learn
+
+    def counted(words, *others):
+        learned.update(words)
+        learn(words, *others)
+
+    monkeypatch.setattr(encoder, "_learn", counted)
+    for k in range(30):
+        text = f"start common, {prose(k, 12)} common. common!\ncommon"
+        (raw,) = encoder.encode([text])
+        assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, text).tolist()[:-1]
+    assert learned["common"] == learned["\ncommon"] == 1
+    assert not {"common,", "common.", "common!"} & set(learned)
+
+
+def test_texts_split_in_several_groups_keep_their_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "_SPLIT_CHARS", 100, raising=False)
+    texts = [prose(k, 3 * k % 50) for k in range(60)] + ["", "  ", "a  b", prose(1, 2000)]
+    encoder = tokens.WordEncoder(public_tokenizers.path(TOKENIZER_FILE))
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == ids_of(tokenizer, text).tolist()[:-1]
+
+
 # --- 10 pages -----------------------------------------------------------------------------------
 
 PAGE = """<html><body class="home"><header>Top</header><div id="cookie-notice">We use cookies</div>
